@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import ship_package
 from .exact import exact_groups
 from .mixing import MAX_REPEATS, SEED, WORD, mix_counts
+from .near import near_groups
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +54,16 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM hashed WINDOW w AS (PARTITION BY text_sha256)
 """
 
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its near-duplicate class."""
+    groups = near_groups(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_near_dedup": op8_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op7_exact_dedup": OP7_SQL}
