@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import held_out, ship_package
 from .exact import exact_groups
 from .mixing import MAX_REPEATS, SEED, WORD, mix_counts
 from .near import near_groups
+from .quality import THRESHOLD as QUALITY_THRESHOLD
+from .quality import fit_quality, with_quality
+from .toxicity import THRESHOLD as TOXICITY_THRESHOLD
+from .toxicity import fit_toxicity, with_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +46,14 @@ SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN d
 """
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_quality(docs, _table(spark, sf_dir, "labels"))
+    scored = with_quality(docs, model, keep=("doc_id",))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the one kept of those with its text."""
     groups = exact_groups(_table(spark, sf_dir, "documents"), hash_all=True)
@@ -61,9 +73,19 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "class_id", "class_size", "n_links", "kept")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = with_toxicity(docs, model, keep=("doc_id",))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_quality": op4_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op7_exact_dedup": OP7_SQL}
