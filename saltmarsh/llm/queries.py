@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from .common import held_out, ship_package
 from .exact import exact_groups
+from .media import media_column, media_digest
 from .mixing import MAX_REPEATS, SEED, WORD, mix_counts
 from .near import near_groups
 from .quality import THRESHOLD as QUALITY_THRESHOLD
 from .quality import fit_quality, with_quality
+from .tokenfile import token_digest
 from .toxicity import THRESHOLD as TOXICITY_THRESHOLD
 from .toxicity import fit_toxicity, with_toxicity
+from .warc import warc_digest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +49,11 @@ SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN d
 """
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as Matroska samples and read back."""
+    return media_digest(media_column(_table(spark, sf_dir, "documents")))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -54,6 +62,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc_digest(_table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the one kept of those with its text."""
     groups = exact_groups(_table(spark, sf_dir, "documents"), hash_all=True)
@@ -81,11 +94,21 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids written as Simple-8b files and read back."""
+    import public_tokenizers
+
+    return token_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_media": op2_media,
     "op4_quality": op4_quality,
+    "op5_warc": op5_warc,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_token_file": op10_token_file,
 }
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op7_exact_dedup": OP7_SQL}
