@@ -14,6 +14,7 @@ from .mixing import MAX_REPEATS, SEED, WORD, mix_counts
 from .near import near_groups
 from .quality import THRESHOLD as QUALITY_THRESHOLD
 from .quality import fit_quality, with_quality
+from .spiece import with_pieces
 from .tokenfile import token_digest
 from .toxicity import THRESHOLD as TOXICITY_THRESHOLD
 from .toxicity import fit_toxicity, with_toxicity
@@ -54,6 +55,13 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digest(media_column(_table(spark, sf_dir, "documents")))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and what they decode to."""
+    import public_tokenizers
+
+    return with_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -104,6 +112,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_media": op2_media,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_quality": op4_quality,
     "op5_warc": op5_warc,
     "op7_exact_dedup": op7_exact_dedup,
