@@ -8,13 +8,16 @@
 - byte fallback: for each character an arc that emits its UTF-8 bytes' ids, at a cost above every piece's.
 
 A text is composed with these as a linear automaton (states are its positions, and only reachable arcs
-are made) and the tropical shortest path is taken in order of position. Equal costs are settled by
-fewer pieces, then the longer last piece. As no piece has a blank mark after another character,
-every path passes the positions before blank marks; the text is cut there and a unit's path is looked up once found.
+are made) and the tropical shortest path is taken in order of position. For a unigram model the path of least cost is
+the library's own result. A BPE model's library encoder merges by rank, which is no sum of costs; but its
+result is the one path on which each two neighbouring pieces, merged from their characters alone, stay
+apart. So for a BPE model an acceptor of piece pairs is composed in as well, with infinite weight (the semiring's
+zero) for pairs that would merge across their boundary; one path of finite weight is left, and of each
+prefix too, so one state a position is enough. Ids are then those of the library.
 
-The path has the least sum of costs, which is SentencePiece's own result for unigram models. A BPE model's
-library encoder instead merges greedily by rank, which is no sum over a path; on such a model ids may differ
-from the library's while the text decoded is the same (see the README for the measured agreement).
+Unigram paths of equal cost are settled by fewer pieces, then the longer last piece. As no piece has a blank mark
+after another character, every path passes the positions before blank marks; the text is cut there
+and a unit's path is looked up once found.
 
 Nulls: a null text counts as empty and has no ids. Characters outside the vocabulary come as byte pieces,
 or the unknown id where the model has none. Long texts are encoded whole, unit by unit. A text's own blank
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import chunks, ship_package, text_or_empty
 
 BLANK = "▁"
-CACHED_UNITS, LONGEST_CACHED = 600_000, 48
+CACHED_UNITS, LONGEST_CACHED, CACHED_PAIRS = 600_000, 48, 1_000_000
 # Fixed values of the format: kinds of pieces
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Added to the largest cost of a piece for a character that has none.
@@ -79,12 +82,14 @@ class Piece:
 
 
 def read_model(data: bytes) -> tuple[list[Piece], dict[str, bool | bytes]]:
-    """The pieces in order of ids, and the normaliser's settings."""
-    pieces, normal = [], {"dummy_prefix": True, "remove_extra": True, "escape": True, "charsmap": b""}
+    """The pieces in order of ids, and the settings: the normaliser's, and whether the model is of the BPE kind."""
+    pieces, normal = [], {"dummy_prefix": True, "remove_extra": True, "escape": True, "charsmap": b"", "bpe": False}
     for number, value in _fields(data):
         if number == 1:
             own = dict(_fields(value))
             pieces.append(Piece(own.get(1, b"").decode("utf-8"), -struct.unpack("<f", own[2])[0] if 2 in own else 0.0, own.get(3, NORMAL)))
+        elif number == 2:
+            normal["bpe"] = dict(_fields(value)).get(3, 1) == 2
         elif number == 3:
             for k, v in _fields(value):
                 name = {2: "charsmap", 3: "dummy_prefix", 4: "remove_extra", 5: "escape"}.get(k)
@@ -96,7 +101,7 @@ def read_model(data: bytes) -> tuple[list[Piece], dict[str, bool | bytes]]:
 class Transducer:
     """The composed normaliser, lexicon and fallback; `encode` is the shortest path's output, `decode` its inverse."""
 
-    def __init__(self, pieces: list[Piece], dummy_prefix: bool = True, remove_extra: bool = False, escape: bool = True, rules: dict[str, str] | None = None):
+    def __init__(self, pieces: list[Piece], dummy_prefix: bool = True, remove_extra: bool = False, escape: bool = True, rules: dict[str, str] | None = None, bpe: bool = False):
         self.pieces, self.dummy_prefix, self.remove_extra, self.escape, self.rules = pieces, dummy_prefix, remove_extra, escape, rules or {}
         self.root: dict = {}  # a state: character to state; under None: (cost, id) of the piece that ends there
         self.bytes: dict[int, int] = {}
@@ -105,6 +110,8 @@ class Transducer:
         for i, p in enumerate(pieces):
             if p.kind == BYTE:
                 self.bytes[int(p.text[1:-1], 16)] = i
+            if p.kind == USER_DEFINED and bpe:
+                raise ValueError("user-defined pieces of BPE models are not supported")
         for i, p in lexicon:
             state = self.root
             for c in p.text:
@@ -117,6 +124,61 @@ class Transducer:
         self.unit = None if inner else re.compile(f"[{alone}]|{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" if alone else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
         self.rewrite = re.compile("|".join(map(re.escape, sorted(self.rules, key=len, reverse=True)))) if self.rules else None
         self.known: dict[str, tuple[int, ...]] = {}
+        self.bpe = bpe
+        self.costs = {p.text: (p.cost, i) for i, p in reversed(lexicon)}
+        self.apart: dict[tuple[str, str], bool] = {}
+
+    def merges(self, symbols: list[str], boundary: int | None = None) -> list[str] | None:
+        """Symbols merged by least cost, leftmost first, until none merge; None as soon as a merge crosses the boundary (a number of characters)."""
+        symbols, costs = list(symbols), self.costs
+        while len(symbols) > 1:
+            pairs = [(costs[j][0], i) for i, j in enumerate(map(str.__add__, symbols, symbols[1:])) if j in costs]
+            if not pairs:
+                break
+            i = min(pairs)[1]
+            if boundary is not None and sum(map(len, symbols[: i + 1])) == boundary:
+                return None
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+        return symbols
+
+    def stay_apart(self, a: str, b: str) -> bool:
+        """The acceptor's weight of a pair: whether two neighbours do not merge across their boundary (and b is reached by merging at all)."""
+        found = self.apart.get((a, b))
+        if found is None:
+            if len(self.apart) >= CACHED_PAIRS:
+                self.apart.clear()
+            found = self.apart[a, b] = (not a or self.merges(list(a + b), len(a)) is not None) and (bool(a) or self.merges(list(b)) == [b]) and (not a or self.stay_apart("", b))
+        return found
+
+    def merged_path(self, text: str) -> list[tuple[int, int, int | None]]:
+        """The path on which all neighbours stay apart: arcs (begin, end, piece)."""
+        n = len(text)
+        last: list[tuple[int, str, int | None] | None] = [None] * (n + 1)
+        last[0] = (-1, "", None)
+        root, apart = self.root, self.apart
+        for at in range(n):
+            own = last[at]
+            if own is None:
+                continue
+            before, state = own[1], root
+            for end in range(at, n):
+                state = state.get(text[end])
+                if state is None:
+                    break
+                if None in state and last[end + 1] is None:
+                    b = text[at : end + 1]
+                    fits = apart.get((before, b))
+                    if fits if fits is not None else self.stay_apart(before, b):
+                        last[end + 1] = (at, b, state[None][1])
+            c = text[at]
+            if c not in self.costs and last[at + 1] is None and self.stay_apart(before, c):
+                last[at + 1] = (at, c, None)
+        path, at = [], n
+        while at > 0:
+            begin, _, piece = last[at]
+            path.append((begin, at, piece))
+            at = begin
+        return path[::-1]
 
     def normalise(self, text: str) -> str:
         """The normaliser's output."""
@@ -172,7 +234,7 @@ class Transducer:
 
     def _unit_ids(self, unit: str) -> tuple[int, ...]:
         out: list[int] = []
-        for begin, end, piece in self.shortest(unit)[1]:
+        for begin, end, piece in self.merged_path(unit) if self.bpe else self.shortest(unit)[1]:
             if piece is not None:
                 out.append(piece)
             elif self.bytes:
@@ -228,7 +290,7 @@ def compile_model(path: str, rules: dict[str, str] | None = None) -> Transducer:
         pieces, normal = read_model(f.read())
     if normal["charsmap"] and rules is None:
         raise ValueError("the model rewrites characters: pass its rules")
-    return Transducer(pieces, normal["dummy_prefix"], normal["remove_extra"], normal["escape"], rules)
+    return Transducer(pieces, normal["dummy_prefix"], normal["remove_extra"], normal["escape"], rules, normal["bpe"])
 
 
 @lru_cache(maxsize=2)
