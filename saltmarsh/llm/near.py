@@ -144,7 +144,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return max(plain, float((1.0 / (above[shared] / wa[shared] + below[shared] / wb[shared])).sum()))
 
 
-def leader_pairs(edges: DataFrame, texts: DataFrame) -> DataFrame:
+def leader_pairs(edges: DataFrame, texts: DataFrame, key_type: str = "binary") -> DataFrame:
     """Rows (u, part, v, body) for a streaming comparison: in each (u, part) the leader's own text comes first, with v null.
 
     edges: (u, v) of text keys; texts: (text_key, body), one row a key. A leader with many members is dealt
@@ -153,7 +153,7 @@ def leader_pairs(edges: DataFrame, texts: DataFrame) -> DataFrame:
     parts = edges.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / PER_LEADER).cast("int").alias("parts"))
     members = edges.join(if_small(stored(parts, "leaders")), "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
     members = members.join(texts, F.col("v") == F.col("text_key")).select("u", "part", "v", "body")
-    leaders = parts.join(texts, F.col("u") == F.col("text_key")).select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("v"), "body")
+    leaders = parts.join(texts, F.col("u") == F.col("text_key")).select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast(key_type).alias("v"), "body")
     return leaders.unionByName(members).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
 
 

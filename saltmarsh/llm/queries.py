@@ -12,6 +12,7 @@ from .exact import exact_groups
 from .media import media_column, media_digest
 from .mixing import MAX_REPEATS, SEED, WORD, mix_counts
 from .near import near_groups
+from .passages import passage_links
 from .quality import THRESHOLD as QUALITY_THRESHOLD
 from .quality import fit_quality, with_quality
 from .spiece import with_pieces
@@ -75,6 +76,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_digest(_table(spark, sf_dir, "pages"))
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of fifty words or more that documents share."""
+    return passage_links(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the one kept of those with its text."""
     groups = exact_groups(_table(spark, sf_dir, "documents"), hash_all=True)
@@ -115,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality": op4_quality,
     "op5_warc": op5_warc,
+    "op6_passages": op6_passages,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
