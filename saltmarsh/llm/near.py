@@ -8,9 +8,10 @@ shingle sets. A text's processes are followed only to the time by which all regi
 
 Registers are banded by four. In each bucket all texts are linked to one leader and each link is
 verified on the whole texts (Jaccard of shingle sets, or of weighted sets where that is larger, 0.8 or
-more). Where a bucket has links that fail, its other members meet again in finer buckets (one more
-band), until none is left: no bucket is capped, and no pairs of a group are listed. Verified links make
-the components.
+more). Texts of buckets with links that fail meet again in buckets of their rarest shingles, of which
+similar texts must share one, so that a passage common to thousands of dissimilar texts brings no two
+of them together; where a link fails there, what is left of the bucket gets another leader, until none fails.
+No bucket is capped, and no pairs of a group are listed. Verified links make the components.
 
 Nulls: a null text counts as empty and an empty text is like no other, each such row its own class;
 null ids are allowed (a class then is named by its smallest id that is not null, if it has one).
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, if_small, ship_package, stored, text_or_empty
@@ -37,6 +38,8 @@ from .shingles import mixed, shingle_hashes, word_hashes
 REGISTERS, BAND_ROWS, SIMILAR = 64, 4, 0.8
 #: Members that meet a copy of their leader's text in one task.
 PER_LEADER = 256
+#: Bytes of text that are sketched at a time.
+CHUNK_BYTES = 4 << 20
 
 
 def _fraction(x: np.ndarray) -> np.ndarray:
@@ -110,7 +113,7 @@ def sketch_table(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "body"):
+            for part in chunks(batch, "body", CHUNK_BYTES):
                 hashed = shingle_hashes(*word_hashes(part.column("body")))
                 n = part.num_rows
                 keys = band_keys(sketches(*weighted(*hashed), n, registers), rows).view(np.int64)
@@ -182,40 +185,58 @@ def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
     return leader_pairs(edges, texts).mapInArrow(run, "u binary, v binary, similarity double")
 
 
-def _refined(members: DataFrame, bands: DataFrame) -> DataFrame:
-    """Members (bucket, last band, text_key) in finer buckets, with each later band of theirs."""
-    wide = members.join(bands, "text_key").select("text_key", "bucket", "last", F.posexplode("bands").alias("band", "key"))
-    return wide.filter("band > last").select("text_key", F.xxhash64("bucket", "band", "key").alias("bucket"), F.col("band").alias("last"))
+def _rare_shingles(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """bucket (a shingle), text_key: for each text its rarest shingles, of which similar texts must share one.
+
+    With shingles in one order for all texts, sets of Jaccard similarity s share one of the first n - ceil(s n) + 1 of
+    either. Rarest first keeps what many texts have in common (a licence, a long quotation) out of these.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "body"):
+                text, shingle, _ = weighted(*shingle_hashes(*word_hashes(part.column("body"))))
+                yield pa.RecordBatch.from_arrays([part.column("text_key").take(pa.array(text)), pa.array(shingle.view(np.int64)), pa.array(np.bincount(text, minlength=part.num_rows)[text])], ["text_key", "bucket", "size"])
+
+    rows = stored(texts.select("text_key", "body").mapInArrow(run, "text_key binary, bucket long, size long"), "near-shingles")
+    often = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts"))
+    order = Window.partitionBy("text_key").orderBy("texts", "bucket")
+    first = rows.join(often, "bucket").withColumn("_place", F.row_number().over(order))
+    return first.filter((F.col("_place") <= F.col("size") - F.ceil(F.col("size") * similar) + 1) & (F.col("texts") > 1)).select("text_key", "bucket")
 
 
 def near_links(sketch: DataFrame, docs: DataFrame, text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """Verified links (u, v) between distinct texts, by text key; sketch: the stored `sketch_table` of docs."""
-    distinct = stored(sketch.filter("bands IS NOT NULL").groupBy("text_key").agg(F.min_by("bands", "row_tag").alias("bands"), F.min("row_tag").alias("row_tag")), "near-distinct")
-    buckets = distinct.select("text_key", F.posexplode("bands").alias("last", "key")).select("text_key", F.xxhash64("last", "key").alias("bucket"), "last")
-    links, known, texts = None, None, None
+    distinct = sketch.filter("bands IS NOT NULL").groupBy("text_key").agg(F.min_by("bands", "row_tag").alias("bands"), F.min("row_tag").alias("row_tag"))
+    rows = distinct.select("text_key", "row_tag", F.posexplode("bands").alias("band", "key")).select("text_key", "row_tag", F.xxhash64("band", "key").alias("bucket"))
+    rows = stored(rows, "near-bands")
+    several = rows.groupBy("bucket").agg(F.min("text_key").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = stored(rows.join(several, "bucket").select("bucket", "text_key", "row_tag", "leader"), "near-members")
+    tags = stored(met.select(F.col("row_tag").alias("_tag"), "text_key").distinct(), "near-tags")
+    own = tagged(docs, "_own_tag").select("_own_tag", text_or_empty(text).alias("body"))
+    texts = stored(own.join(if_small(tags), F.col("_own_tag") == F.col("_tag")).select("text_key", "body"), "near-texts")
+    member, known, refined = met.select("bucket", "text_key", "leader").filter("text_key <> leader"), None, False
     while True:
-        groups = buckets.groupBy("bucket").agg(F.min("text_key").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "leader")
-        groups = stored(groups, "near-buckets")
-        member = stored(buckets.join(if_small(groups), "bucket").filter("text_key <> leader"), "near-members")
         edges = member.select(F.col("leader").alias("u"), F.col("text_key").alias("v")).distinct()
         fresh = stored(edges if known is None else edges.join(known, ["u", "v"], "left_anti"), "near-edges")
-        if fresh.isEmpty():
-            if links is None:
-                return fresh
+        checked = stored(verified(fresh, texts).withColumn("ok", F.col("similarity") >= similar), "near-verified")
+        known = checked if known is None else known.unionByName(checked)
+        failed = member.join(known.filter("NOT ok").select(F.col("u").alias("leader"), F.col("v").alias("text_key")), ["leader", "text_key"], "left_semi")
+        if not refined:
+            # all texts of buckets with a failed link meet again by their rare shingles
+            wrong = stored(failed.select("bucket").distinct(), "near-failed")
+            if wrong.isEmpty():
+                break
+            again = met.join(if_small(wrong), "bucket", "left_semi").select("text_key").distinct()
+            rows = stored(_rare_shingles(texts.join(if_small(stored(again, "near-again")), "text_key", "left_semi"), similar), "near-rare")
+            refined = True
         else:
-            ends = stored(fresh.select(F.col("u").alias("text_key")).union(fresh.select("v")).distinct(), "near-ends")
-            if texts is None:  # later rounds compare members of these buckets only
-                tags = stored(ends.join(distinct, "text_key").select("text_key", F.col("row_tag").alias("_tag")), "near-tags")
-                texts = tagged(docs, "_own_tag").select("_own_tag", text_or_empty(text).alias("body")).join(if_small(tags), F.col("_own_tag") == F.col("_tag")).select("text_key", "body")
-            checked = stored(verified(fresh, texts).withColumn("ok", F.col("similarity") >= similar), "near-verified")
-            known = checked if known is None else known.unionByName(checked)
-            links = known.filter("ok").select("u", "v")
-        failed = member.join(known.filter("NOT ok").select("u", "v"), (F.col("leader") == F.col("u")) & (F.col("text_key") == F.col("v"))).select("bucket").distinct()
-        failed = stored(failed, "near-failed")
-        if failed.isEmpty():
-            return links
-        again = member.join(if_small(failed), "bucket", "left_semi").select("text_key", "bucket", "last")
-        buckets = stored(_refined(again, distinct.select("text_key", "bands")), "near-finer")
+            rows = stored(failed.select("text_key", "bucket"), "near-left")
+        groups = rows.groupBy("bucket").agg(F.min("text_key").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "leader")
+        member = stored(rows.join(groups, "bucket").filter("text_key <> leader").select("bucket", "text_key", "leader"), "near-members")
+        if member.isEmpty():
+            break
+    return known.filter("ok").select("u", "v")
 
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
