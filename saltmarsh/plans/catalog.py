@@ -1,3 +1,8 @@
 """All queries of the engine and their SQL."""
-QUERIES = {}
-ORACLE_SQL = {}
+
+from __future__ import annotations
+
+from . import papers
+
+QUERIES = {**papers.QUERIES}
+ORACLE_SQL = {**papers.ORACLE_SQL}
