@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import papers
+from . import documents, papers
 
-QUERIES = {**papers.QUERIES}
-ORACLE_SQL = {**papers.ORACLE_SQL}
+QUERIES = {**papers.QUERIES, **documents.QUERIES}
+ORACLE_SQL = {**papers.ORACLE_SQL, **documents.ORACLE_SQL}
