@@ -18,59 +18,89 @@ WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int
 # selectors as stored: 0 to 14 pack, 15 escapes; the 60-bit single takes the place of the 120-zeros run
 COUNTS, WIDTHS = np.delete(COUNTS, 1), np.delete(WIDTHS, 1)
 ESCAPE = 15
-_LIMITS = np.array([1 << int(b) for b in WIDTHS], np.uint64)
+
+
+_SHORT = np.array([x.bit_length() for x in range(1 << 16)], np.uint8)
+
+
+def _bits(values: np.ndarray) -> np.ndarray:
+    """Number of bits of each value."""
+    if values.max(initial=0) < len(_SHORT):
+        return _SHORT[values]
+    high = values >> np.uint64(16)
+    return np.where(high, 16 + _bits(high).astype(np.int16), _SHORT[values & np.uint64(0xFFFF)]).astype(np.uint8)
+
+
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """For each place of the blocks (rows of `bits`, zero-padded) the selector that takes most values from there on."""
+    blocks = len(bits)
+    flat, most = bits.reshape(-1), int(bits.max(initial=0))
+    always = int(np.argmax(WIDTHS >= most)) if most <= 60 else ESCAPE
+    best = np.full(flat.shape, always, np.int8)
+    table = best.reshape(blocks, BLOCK)
+    tail = np.maximum.accumulate(bits[:, ::-1], axis=1)[:, ::-1]
+    for s in range(min(always, len(COUNTS)) - 1 if always != ESCAPE else len(COUNTS) - 1, -1, -1):
+        n, width = int(COUNTS[s]), int(WIDTHS[s])
+        fits = np.flatnonzero(flat <= width)
+        if len(fits) >= n:  # n fitting places in a row, all in one block
+            begin = fits[: len(fits) - n + 1]
+            begin = begin[(fits[n - 1 :] - begin == n - 1) & (begin % BLOCK <= BLOCK - n)]
+            best[begin] = s
+        last = table[:, max(0, BLOCK - n + 1) :]
+        last[tail[:, max(0, BLOCK - n + 1) :] <= width] = s  # all that are left fit
+    return table
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words of the values (uint64), and each block's first word with their number as a last item."""
-    values = np.ascontiguousarray(values, np.uint64)
     n = len(values)
-    blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    table = np.zeros((blocks, BLOCK + 1), np.uint64)
-    table[:, :BLOCK].reshape(-1)[:] = 0
+    blocks = -(-n // BLOCK)
     flat = np.zeros(blocks * BLOCK, np.uint64)
     flat[:n] = values
-    table[:, :BLOCK] = flat.reshape(blocks, BLOCK)
+    bits = _bits(flat)
+    best = _selectors(bits.reshape(blocks, BLOCK))
     held = np.full(blocks, BLOCK, np.int64)
     held[-1] = n - (blocks - 1) * BLOCK
-    # the first selector (most values a word) whose width fits as many values as it holds, or all that are left
-    best = np.full((blocks, BLOCK), ESCAPE, np.int8)
-    place = np.arange(BLOCK)
-    for s in range(len(COUNTS) - 1, -1, -1):
-        stop = np.where(table[:, :BLOCK] >= _LIMITS[s], place, BLOCK).astype(np.int16)
-        stop = np.minimum.accumulate(stop[:, ::-1], axis=1)[:, ::-1]
-        best[(stop - place >= COUNTS[s]) | (stop >= BLOCK)] = s
     take = np.append(COUNTS, 1)
-    at, row, words, owner, order = np.zeros(blocks, np.int64), np.arange(blocks), [], [], []
-    step = 0
+    at, row, steps = np.zeros(blocks, np.int64), np.arange(blocks), []
     while len(row):
-        s = best[row, at].astype(np.int64)
-        word = s.astype(np.uint64) << np.uint64(60)
-        for one in np.unique(s):
-            here = np.flatnonzero(s == one)
-            if one == ESCAPE or WIDTHS[one] == 0:
-                continue
-            width = int(WIDTHS[one])
-            for j in range(int(COUNTS[one])):
-                place_j = np.minimum(at[here] + j, BLOCK)
-                word[here] |= table[row[here], place_j] << np.uint64(j * width)
-        words.append(word)
-        owner.append(row)
-        order.append(np.full(len(row), step))
-        wide = np.flatnonzero(s == ESCAPE)
-        if len(wide):
-            words.append(table[row[wide], at[wide]])
-            owner.append(row[wide])
-            order.append(np.full(len(wide), step + 1))
-        step += 2
+        s = best[row, at]
+        steps.append((row, at, s))
         at = at + take[s]
         on = at < held[row]
         at, row = at[on], row[on]
-    words, owner, order = np.concatenate(words), np.concatenate(owner), np.concatenate(order)
-    sort = np.lexsort((order, owner))
-    return words[sort], np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=blocks))))
+    step = np.repeat(np.arange(len(steps)), [len(x[0]) for x in steps])
+    row, at, s = (np.concatenate(x) for x in zip(*steps, strict=True))
+    size = np.where(s == ESCAPE, 2, 1)
+    if (size == 1).all():
+        offsets = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=blocks))))
+        to = offsets[row] + step
+    else:
+        order = np.lexsort((step, row))
+        to = np.empty(len(row), np.int64)
+        to[order] = np.cumsum(size[order]) - size[order]
+        offsets = np.concatenate(([0], np.cumsum(np.bincount(row, size, blocks)))).astype(np.int64)
+    words = np.zeros(offsets[-1], np.uint64)
+    words[to] = s.astype(np.uint64) << np.uint64(60)
+    place = row * BLOCK + at
+    padded = np.concatenate((flat, np.zeros(BLOCK, np.uint64)))
+    room = (row + 1) * BLOCK
+    for one in np.unique(s).tolist():
+        here = np.flatnonzero(s == one)
+        if one == ESCAPE:
+            words[to[here] + 1] = flat[place[here]]
+        elif WIDTHS[one]:
+            first, word = place[here], words[to[here]]
+            short = first + COUNTS[one] > room[here]
+            for j in range(int(COUNTS[one])):
+                v = padded[first + j]
+                if short.any():
+                    v[first + j >= room[here]] = 0
+                word |= v << np.uint64(j * int(WIDTHS[one]))
+            words[to[here]] = word
+    return words, offsets
 
 
 def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:

@@ -22,58 +22,109 @@ are encoded whole. An empty table gives no files and an empty result.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_path, ship_package, stored, text_or_empty
+from .common import chunks, scratch_path, ship_package, stored, text_or_empty
 from .remote import Committed, at
 from .simple8b import pack, unpack
 
 MAGIC = b"SM8B0001"
-SEGMENT_IDS, ROLL_IDS, CACHED_WORDS = 1 << 20, 1 << 26, 600_000
+SEGMENT_IDS, ROLL_IDS, CACHED_WORDS, JOINED_WORDS = 1 << 20, 1 << 26, 1_500_000, 2000
+# ASCII punctuation that the tokenizer never joins to letters before it (the apostrophe is not among it)
+PUNCTUATION = ".,;:!?*#$%&|-_()[]{}<>=+/\\\"^~`@"
 
 
 class WordIds:
-    """A tokenizers file's ids of whole texts, as little-endian unsigned 32-bit integers."""
+    """A tokenizers file's ids of whole texts, as little-endian unsigned 32-bit integers.
+
+    Texts are split at ASCII white space; a batch's distinct words are looked up, and those not yet known encoded
+    by the library. A word of letters with ASCII punctuation behind it is encoded as these two parts, which
+    the tokenizer's own splitting keeps apart, the letters in lower case, as its normaliser makes them; so fewer words
+    are new.
+    """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are parallel already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
+        self.known: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ending[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words. Words of letters are joined by blanks into long texts, whose ids are cut after the tokens that end a word."""
+        plain = [w for w in words if w.isalpha() and "İ" not in w]
+        texts = [plain[i : i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
+        rest = [w for w in words if not (w.isalpha() and "İ" not in w)]
+        for part, e in zip(texts, self.tokenizer.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(self.ending[ids]) + 1
+            if len(ends) != len(part):
+                rest += part
+                continue
+            data, cuts = ids.tobytes(), (4 * ends).tolist()
+            self.known.update(zip(part, [data[x:y] for x, y in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+        if rest:
+            for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of each of some distinct words."""
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        missing = [w for w in words if w not in self.known]
-        for w, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-            ids = e.ids
-            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def of(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            own = set(words)
-            self._learn(own)
-            if not self.known.keys() >= own:  # emptied for room
-                self._learn(own)
-            return b"".join(map(self.known.__getitem__, words))
-
-
-def segment(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
+            self.known = {"": b""}
+        known = self.known
+        found = list(map(known.get, words))
+        missing = [w for w, x in zip(words, found, strict=True) if x is None]
+        if missing:
+            parts, new = [], set()
+            for w in missing:
+                c = w.rstrip(PUNCTUATION)
+                low = c.lower()
+                if c.isalpha() and low != w and "İ" not in c and "Σ" not in c:  # these two are not lowered letter by letter
+                    parts.append((w, low, w[len(c) :]))
+                    new.add(low)
+                    new.add(w[len(c) :])
+                else:
+                    new.add(w)
+            self._learn([x for x in new if x not in known])
+            for w, c, t in parts:
+                known[w] = known[c] + known[t]
+            found = list(map(known.__getitem__, words))
+        return found
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and where each text's begin (one more than texts)."""
+        parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = parts.flatten().dictionary_encode()
+        ids = self.words(coded.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        begin = np.cumsum(size) - size
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        n = size[codes]
+        ends = np.cumsum(n)
+        out = flat[np.repeat(begin[codes] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate(([0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))))
+        return out, np.concatenate(([0], ends))[cuts]
+
+
+def segment(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     """One segment of whole documents."""
-    values = np.frombuffer(b"".join(ids), "<u4")
+    values = np.concatenate(ids)
     words, offsets = pack(values)
     head = struct.pack("<QQQQ", len(ids), len(values), len(words), len(offsets) - 1)
-    return b"".join((MAGIC, head, np.array([x or 0 for x in doc_ids], "<i8").tobytes(), bytes(x is None for x in doc_ids), np.array([len(x) // 4 for x in ids], "<u8").tobytes(), offsets.astype("<u4").tobytes(), words.astype("<u8").tobytes()))
+    return b"".join((MAGIC, head, np.array([x or 0 for x in doc_ids], "<i8").tobytes(), bytes(x is None for x in doc_ids), np.array([len(x) for x in ids], "<u8").tobytes(), offsets.astype("<u4").tobytes(), words.astype("<u8").tobytes()))
 
 
 def segments(stream) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
@@ -97,7 +148,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("body"))
     tie = F.xxhash64("body")
     rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie, "body")
-    ending = struct.pack("<I", end_id)
+    ending = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -116,20 +167,21 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             held = 0
 
         for batch in batches:
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if out is None:
-                    path = f"{folder}/part-{part:06d}-{len(made):05d}.s8b"
-                    out = Committed(path, attempt)
-                    made.append([path, part, 0, 0, 0])
-                own = encoder.of(t.as_py()) + ending
-                doc_ids.append(d)
-                ids.append(own)
-                held += len(own) // 4
-                if held >= SEGMENT_IDS:
-                    flush()
-                    if made[-1][3] >= ROLL_IDS:
-                        out.close()
-                        made[-1][4], out = out.size, None
+            for piece in chunks(batch, "body"):
+                all_ids, cuts = encoder.of(piece.column("body"))
+                for d, a, b in zip(piece.column("doc_id").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                    if out is None:
+                        path = f"{folder}/part-{part:06d}-{len(made):05d}.s8b"
+                        out = Committed(path, attempt)
+                        made.append([path, part, 0, 0, 0])
+                    doc_ids.append(d)
+                    ids += [np.append(all_ids[a:b], ending)]
+                    held += b - a + 1
+                    if held >= SEGMENT_IDS:
+                        flush()
+                        if made[-1][3] >= ROLL_IDS:
+                            out.close()
+                            made[-1][4], out = out.size, None
         if out is not None:
             if ids:
                 flush()
