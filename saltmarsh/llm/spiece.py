@@ -32,6 +32,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +40,11 @@ from pyspark.sql import functions as F
 from .common import chunks, ship_package, text_or_empty
 
 BLANK = "▁"
-CACHED_UNITS, LONGEST_CACHED, CACHED_PAIRS = 600_000, 48, 1_000_000
+CACHED_UNITS, LONGEST_CACHED, CACHED_PAIRS = 1_000_000, 48, 1_000_000
 # Fixed values of the format: kinds of pieces
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+#: Stands for no piece before.
+NOTHING = 1 << 22
 #: Added to the largest cost of a piece for a character that has none.
 FALLBACK_EXTRA = 10.0
 #: Pieces at this cost or above are there to be reached by merging only, and do not count for the fallback's cost.
@@ -125,8 +128,10 @@ class Transducer:
         self.rewrite = re.compile("|".join(map(re.escape, sorted(self.rules, key=len, reverse=True)))) if self.rules else None
         self.known: dict[str, tuple[int, ...]] = {}
         self.bpe = bpe
+        blank = lambda t: t.replace(BLANK, " ") if escape else t
+        self.raw = [bytes([int(p.text[1:-1], 16)]) if p.kind == BYTE else b"" if p.kind == CONTROL else " ⁇ ".encode() if p.kind == UNKNOWN else blank(p.text).encode("utf-8", "surrogatepass") for p in pieces]
         self.costs = {p.text: (p.cost, i) for i, p in reversed(lexicon)}
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[int, bool] = {}
 
     def merges(self, symbols: list[str], boundary: int | None = None) -> list[str] | None:
         """Symbols merged by least cost, leftmost first, until none merge; None as soon as a merge crosses the boundary (a number of characters)."""
@@ -141,44 +146,69 @@ class Transducer:
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
         return symbols
 
-    def stay_apart(self, a: str, b: str) -> bool:
-        """The acceptor's weight of a pair: whether two neighbours do not merge across their boundary (and b is reached by merging at all)."""
-        found = self.apart.get((a, b))
+    def _stay_apart(self, key: int) -> bool:
+        """The acceptor's weight of a pair, by its key: whether two neighbours do not merge across their boundary, or (with no one before) whether a piece is reached by merging at all."""
+        a, b = key >> 22, key & (1 << 22) - 1
+        y = self.symbol(b)
+        if a == NOTHING:
+            return self.merges(list(y)) == [y]
+        x = self.symbol(a)
+        return self.merges(list(x + y), len(x)) is not None and self.stays(NOTHING << 22 | b)
+
+    def stays(self, key: int) -> bool:
+        found = self.apart.get(key)
         if found is None:
             if len(self.apart) >= CACHED_PAIRS:
                 self.apart.clear()
-            found = self.apart[a, b] = (not a or self.merges(list(a + b), len(a)) is not None) and (bool(a) or self.merges(list(b)) == [b]) and (not a or self.stay_apart("", b))
+            found = self.apart[key] = self._stay_apart(key)
         return found
 
+    def symbol(self, number: int) -> str:
+        """A piece's text, or a character without a piece."""
+        return self.pieces[number].text if number < len(self.pieces) else chr(number - len(self.pieces))
+
     def merged_path(self, text: str) -> list[tuple[int, int, int | None]]:
-        """The path on which all neighbours stay apart: arcs (begin, end, piece)."""
-        n = len(text)
-        last: list[tuple[int, str, int | None] | None] = [None] * (n + 1)
-        last[0] = (-1, "", None)
-        root, apart = self.root, self.apart
-        for at in range(n):
-            own = last[at]
-            if own is None:
-                continue
-            before, state = own[1], root
+        """The path on which all neighbours stay apart: arcs (begin, end, piece).
+
+        Arcs are tried longest first. Whatever path of finite weight leads to a position, it is the same (the
+        prefix's own encoding), so a position that led nowhere is not entered again.
+        """
+        n, root, apart, extra = len(text), self.root, self.apart, len(self.pieces)
+        path: list[tuple[int, int, int]] = []
+        todo: list[tuple[int, list[tuple[int, int]]]] = []
+        dead: set[int] = set()
+        at, before = 0, NOTHING
+        while at < n:
+            state, arcs = root, []
             for end in range(at, n):
                 state = state.get(text[end])
                 if state is None:
                     break
-                if None in state and last[end + 1] is None:
-                    b = text[at : end + 1]
-                    fits = apart.get((before, b))
-                    if fits if fits is not None else self.stay_apart(before, b):
-                        last[end + 1] = (at, b, state[None][1])
-            c = text[at]
-            if c not in self.costs and last[at + 1] is None and self.stay_apart(before, c):
-                last[at + 1] = (at, c, None)
-        path, at = [], n
-        while at > 0:
-            begin, _, piece = last[at]
-            path.append((begin, at, piece))
-            at = begin
-        return path[::-1]
+                if None in state:
+                    arcs.append((end + 1, state[None][1]))
+            if text[at] not in self.costs:
+                arcs.insert(0, (at + 1, extra + ord(text[at])))
+            while True:
+                while arcs:
+                    end, i = arcs.pop()
+                    key = before << 22 | i
+                    fits = apart.get(key)
+                    if end not in dead and (self.stays(key) if fits is None else fits):
+                        break
+                else:
+                    # back to the last position with arcs left
+                    dead.add(at)
+                    if not path:
+                        raise ValueError("no segmentation: the pieces are not those of a merging model")
+                    path.pop()
+                    at, arcs = todo.pop()
+                    before = path[-1][2] if path else NOTHING
+                    continue
+                break
+            todo.append((at, arcs))
+            path.append((at, end, i))
+            at, before = end, i
+        return [(a, b, i if i < extra else None) for a, b, i in path]
 
     def normalise(self, text: str) -> str:
         """The normaliser's output."""
@@ -232,7 +262,7 @@ class Transducer:
             at = begin
         return best[n][0], path[::-1]
 
-    def _unit_ids(self, unit: str) -> tuple[int, ...]:
+    def _unit_ids(self, unit: str) -> bytes:
         out: list[int] = []
         for begin, end, piece in self.merged_path(unit) if self.bpe else self.shortest(unit)[1]:
             if piece is not None:
@@ -241,46 +271,39 @@ class Transducer:
                 out.extend(self.bytes[b] for b in unit[begin:end].encode("utf-8", "surrogatepass"))
             else:
                 out.append(self.unknown)
-        return tuple(out)
+        return np.array(out, "<u4").tobytes()
 
-    def encode(self, text: str | None) -> list[int]:
-        """Ids of a text."""
+    def encode_packed(self, text: str | None) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
         whole = self.normalise(text or "")
         if not whole:
-            return []
+            return b""
         if self.unit is None:
-            return list(self._unit_ids(whole))
-        out: list[int] = []
-        known = self.known
-        for u in self.unit.findall(whole):
+            return self._unit_ids(whole)
+        units, known = self.unit.findall(whole), self.known
+        try:
+            return b"".join(map(known.__getitem__, units))
+        except KeyError:
+            pass
+        if len(known) >= CACHED_UNITS:
+            known.clear()
+        out: list[bytes] = []
+        for u in units:
             ids = known.get(u)
             if ids is None:
                 ids = self._unit_ids(u)
                 if len(u) <= LONGEST_CACHED:
-                    if len(known) >= CACHED_UNITS:
-                        known.clear()
                     known[u] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return b"".join(out)
+
+    def encode(self, text: str | None) -> list[int]:
+        """Ids of a text."""
+        return np.frombuffer(self.encode_packed(text), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces and bytes joined, blank marks to blanks, without the blank put before."""
-        out, held = [], bytearray()
-        for i in ids:
-            p = self.pieces[i]
-            if p.kind == BYTE:
-                held.append(int(p.text[1:-1], 16))
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held.clear()
-            if p.kind != CONTROL:
-                out.append(" ⁇ " if p.kind == UNKNOWN else p.text)
-        if held:
-            out.append(held.decode("utf-8", "replace"))
-        text = "".join(out)
-        if self.escape:
-            text = text.replace(BLANK, " ")
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
@@ -310,9 +333,11 @@ def with_pieces(docs: DataFrame, model: str, id_column: str = "doc_id", text: st
         for batch in batches:
             for part in chunks(batch, "body"):
                 texts = part.column("body").to_pylist()
-                ids = [own.encode(t) for t in texts]
-                back = [own.decode(x) for x in ids]
-                columns = [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+                packed = [own.encode_packed(t) for t in texts]
+                back = [own.decode(memoryview(x).cast("I")) for x in packed]
+                size = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+                columns = [part.column("doc_id"), lists, pa.array(size)]
                 columns += [pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back], pa.string()), pa.array([a == b for a, b in zip(texts, back, strict=True)], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_tokens", "decoded_sha256", "lossless"])
 
