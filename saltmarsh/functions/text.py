@@ -39,16 +39,20 @@ def _decomposed() -> tuple[str, str, dict[str, str]]:
     return "".join(single), "".join(to), longer
 
 
+def spelt_out(c: Column, table: dict[str, str]) -> Column:
+    """Single characters replaced by strings; texts without any of them are left alone."""
+    pairs = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    letters = F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(pairs, x), x))
+    return F.when(c.rlike("[" + "".join(table) + "]"), F.array_join(letters, "")).otherwise(c)
+
+
 def ascii_fold(c: Column | str) -> Column:
     """Letters, digits and blanks under compatibility decomposition, for keys that drop all else afterwards.
 
     Longer decompositions are replaced for Latin letters, letter-like symbols, fractions, Roman numerals and ligatures.
     """
     single, to, longer = _decomposed()
-    out = col(c)
-    many = reduce(lambda e, x: F.replace(e, F.lit(x[0]), F.lit(x[1])), longer.items(), out)
-    out = F.when(out.rlike("[" + "".join(longer) + "]"), many).otherwise(out)
-    return F.when(out.rlike(r"^[\x00-\x7F]*$"), out).otherwise(F.translate(out, single, to))
+    return F.translate(spelt_out(col(c), longer), single, to)
 
 
 def normal_doi(c: Column | str) -> Column:
@@ -168,7 +172,7 @@ def label_rank(c: Column | str) -> Column:
 
 def clean_name(c: Column | str) -> Column:
     """A compound name in printable ASCII, Greek letters spelt out."""
-    t = reduce(lambda e, x: F.replace(e, F.lit(x[0]), F.lit(x[1])), V.GREEK.items(), strip(F.coalesce(col(c), F.lit(""))))
+    t = spelt_out(strip(F.coalesce(col(c), F.lit(""))), V.GREEK)
     t = F.regexp_replace(ascii_fold(t), r"[^\x20-\x7E]", "")
     return F.trim(F.regexp_replace(t, " +", " "))
 

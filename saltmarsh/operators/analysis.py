@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,8 +47,7 @@ def without_outliers(rows: DataFrame, columns: list[str], sigmas: float = 3.0) -
 
 def rule_number(name: Column) -> Column:
     """Number (from 0) of the first curation rule of which a pattern is found in the curation name."""
-    any_of = lambda ps: reduce(lambda a, b: a | b, [name.rlike(f"(?i){p}") for p in ps])
-    return F.coalesce(*[F.when(any_of(r[4]), F.lit(i)) for i, r in enumerate(CURATION_RULES)])
+    return F.coalesce(*[F.when(name.rlike("(?i)" + "|".join(f"(?:{p})" for p in r[4])), F.lit(i)) for i, r in enumerate(CURATION_RULES)])
 
 
 def exclusion_reason(name: str = "compound_name") -> Column:

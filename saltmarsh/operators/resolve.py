@@ -64,7 +64,7 @@ def resolve_names(names: DataFrame, dimension: DataFrame, synonyms: DataFrame |
     best = every.join(props.select("cid"), "cid", "left_semi").groupBy("normalized_name").agg(F.min_by(F.struct("_s", "cid"), F.struct("_s", number.alias("n"), "cid")).alias("b")).select("normalized_name", "b._s", "b.cid")
     out = asked.select("input_name", "normalized_name", "_clean").join(best, "normalized_name", "left").join(props, "cid", "left")
     found = F.col("_s").isNotNull()
-    strategy = F.element_at(F.array(*[F.lit(x) for x in STRATEGIES]), F.col("_s") + 1)
+    strategy = F.when(found, F.element_at(F.array(*[F.lit(x) for x in STRATEGIES]), F.col("_s") + 1))
     status = F.when(found, "resolved").when(F.col("_clean") == "", "invalid_name").otherwise("not_found")
     absent = lambda c: F.coalesce(F.col(c), F.lit(NOT_FOUND)).alias(c)
     return out.select("input_name", "normalized_name", status.alias("lookup_status"), F.coalesce(strategy, F.lit("none")).alias("strategy"), absent("cid"), *[absent(p) for p in PROPERTIES])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import documents, papers
+from . import compounds, documents, papers
 
-QUERIES = {**papers.QUERIES, **documents.QUERIES}
-ORACLE_SQL = {**papers.ORACLE_SQL, **documents.ORACLE_SQL}
+QUERIES = {**papers.QUERIES, **documents.QUERIES, **compounds.QUERIES}
+ORACLE_SQL = {**papers.ORACLE_SQL, **documents.ORACLE_SQL, **compounds.ORACLE_SQL}

@@ -71,17 +71,17 @@ def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _COMPOUND_ANSWER = _case("l_linenumber % 4", ["""concat('{"compounds": [{"compound_name": "', p_name, '", "smiles": "', sm, '", "role": "aminic antioxidant", "evidence": "inhibits oxidation ', CAST(l_linenumber AS STRING), '"}, {"compound_name": "Vitamin E"}, 7]}')""", """concat('{"items": [{"name": " ', upper(p_name), ' ", "formula": "', p_type, '", "evidence": ""}]}')""", """concat('[{"compound_name": "', p_name, '", "structural_info": "', p_brand, '"}, "x"]')""", """'nothing found'"""])
 _SMILES = _case("p_size % 5", ["'c1ccc(Nc2ccccc2)cc1'", "'NOT FOUND'", "'Oc1ccccc1'", "'C1=CC=C(C=C1)NC2=CC=CC=C2'", "''"])
-COMPOUND_ANSWERS_SQL = f"SELECT CAST(l_orderkey AS STRING) AS paper_id, l_linenumber AS chunk_no, concat(CAST(l_orderkey AS STRING), ':chunk-', CAST(l_linenumber AS STRING)) AS chunk_id, {_COMPOUND_ANSWER} AS answer FROM (SELECT *, {_SMILES} AS sm FROM lineitem JOIN part ON l_partkey = p_partkey)"
+COMPOUND_ANSWERS_SQL = f"SELECT CAST(l_orderkey AS STRING) AS paper_id, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000 AS chunk_no, concat(CAST(l_orderkey AS STRING), ':chunk-', CAST(l_linenumber AS STRING)) AS chunk_id, {_COMPOUND_ANSWER} AS answer FROM (SELECT *, {_SMILES} AS sm FROM lineitem JOIN part ON l_partkey = p_partkey)"
 
 
 def compound_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw answers of an extracting model, one per chunk (line item)."""
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return rows.withColumn("sm", F.expr(_SMILES)).select(F.expr("CAST(l_orderkey AS STRING)").alias("paper_id"), F.col("l_linenumber").alias("chunk_no"), F.expr("concat(CAST(l_orderkey AS STRING), ':chunk-', CAST(l_linenumber AS STRING))").alias("chunk_id"), F.expr(_COMPOUND_ANSWER).alias("answer"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return rows.withColumn("sm", F.expr(_SMILES)).select(F.expr("CAST(l_orderkey AS STRING)").alias("paper_id"), F.expr("CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000").alias("chunk_no"), F.expr("concat(CAST(l_orderkey AS STRING), ':chunk-', CAST(l_linenumber AS STRING))").alias("chunk_id"), F.expr(_COMPOUND_ANSWER).alias("answer"))
 
 
 _MENTION = {
-    "seq": "l_orderkey * 10 + l_linenumber",
+    "seq": "((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey",
     "paper_id": "CAST(l_orderkey AS STRING)",
     "doi": "CASE WHEN l_orderkey % 4 = 0 THEN 'NOT FOUND' ELSE concat('10.1000/', CAST(CAST((l_orderkey - l_orderkey % 3) / 3 AS BIGINT) AS STRING)) END",
     "title": "concat('Title ', CAST(l_orderkey AS STRING))",
@@ -95,7 +95,7 @@ MENTIONS_SQL = "SELECT " + ", ".join(f"{v} AS {k}" for k, v in _MENTION.items())
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions of compounds (line items of parts)."""
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return rows.select(*[F.expr(v).alias(k) for k, v in _MENTION.items()])
 
 
