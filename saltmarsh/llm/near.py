@@ -10,7 +10,7 @@ Registers are banded by four. In each bucket all texts are linked to one leader
 verified on the whole texts (Jaccard of shingle sets, or of weighted sets where that is larger, 0.8 or
 more). Texts of buckets with links that fail meet again in buckets of their rarest shingles, of which
 similar texts must share one, so that a passage common to thousands of dissimilar texts brings no two
-of them together; where a link fails there, what is left of the bucket gets another leader, until none fails.
+of them together; what finds no similar leader there meets four times as many leaders, until all have met.
 No bucket is capped, and no pairs of a group are listed. Verified links make the components.
 
 Nulls: a null text counts as empty and an empty text is like no other, each such row its own class;
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, if_small, ship_package, stored, text_or_empty
@@ -205,6 +205,18 @@ def _rare_shingles(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return first.filter((F.col("_place") <= F.col("size") - F.ceil(F.col("size") * similar) + 1) & (F.col("texts") > 1)).select("text_key", "bucket")
 
 
+def _meetings(rows: DataFrame, leaders: int) -> DataFrame:
+    """bucket, leader, text_key: each text of a bucket with each leader there, the least texts of `leaders` parts of the bucket by hash."""
+    part = F.pmod(F.xxhash64("text_key"), F.lit(leaders))
+    chosen = rows.groupBy("bucket", part.alias("_part")).agg(F.min("text_key").alias("leader")).drop("_part")
+    met = rows.join(chosen, "bucket").filter("text_key <> leader")
+    return met.select("bucket", "leader", "text_key")
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+
+
 def near_links(sketch: DataFrame, docs: DataFrame, text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """Verified links (u, v) between distinct texts, by text key; sketch: the stored `sketch_table` of docs."""
     distinct = sketch.filter("bands IS NOT NULL").groupBy("text_key").agg(F.min_by("bands", "row_tag").alias("bands"), F.min("row_tag").alias("row_tag"))
@@ -215,25 +227,27 @@ def near_links(sketch: DataFrame, docs: DataFrame, text: str = "text", similar:
     tags = stored(met.select(F.col("row_tag").alias("_tag"), "text_key").distinct(), "near-tags")
     own = tagged(docs, "_own_tag").select("_own_tag", text_or_empty(text).alias("body"))
     texts = stored(own.join(if_small(tags), F.col("_own_tag") == F.col("_tag")).select("text_key", "body"), "near-texts")
-    member, known, refined = met.select("bucket", "text_key", "leader").filter("text_key <> leader"), None, False
+    member, known, leaders = met.select("bucket", "leader", "text_key").filter("text_key <> leader"), None, 1
     while True:
-        edges = member.select(F.col("leader").alias("u"), F.col("text_key").alias("v")).distinct()
+        edges = member.select(*_pair("leader", "text_key")).distinct()
         fresh = stored(edges if known is None else edges.join(known, ["u", "v"], "left_anti"), "near-edges")
         checked = stored(verified(fresh, texts).withColumn("ok", F.col("similarity") >= similar), "near-verified")
         known = checked if known is None else known.unionByName(checked)
-        failed = member.join(known.filter("NOT ok").select(F.col("u").alias("leader"), F.col("v").alias("text_key")), ["leader", "text_key"], "left_semi")
-        if not refined:
+        paired = member.select("*", *_pair("leader", "text_key")).join(known.select("u", "v", "ok"), ["u", "v"])
+        if leaders == 1:
             # all texts of buckets with a failed link meet again by their rare shingles
-            wrong = stored(failed.select("bucket").distinct(), "near-failed")
+            wrong = stored(paired.filter("NOT ok").select("bucket").distinct(), "near-failed")
             if wrong.isEmpty():
                 break
             again = met.join(if_small(wrong), "bucket", "left_semi").select("text_key").distinct()
             rows = stored(_rare_shingles(texts.join(if_small(stored(again, "near-again")), "text_key", "left_semi"), similar), "near-rare")
-            refined = True
         else:
-            rows = stored(failed.select("text_key", "bucket"), "near-left")
-        groups = rows.groupBy("bucket").agg(F.min("text_key").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "leader")
-        member = stored(rows.join(groups, "bucket").filter("text_key <> leader").select("bucket", "text_key", "leader"), "near-members")
+            # what is no leader and has found none similar in its bucket meets other leaders
+            done = paired.groupBy("bucket", "text_key").agg(F.max("ok").alias("ok"))
+            led = member.select("bucket", F.col("leader").alias("text_key")).distinct()
+            rows = stored(done.filter("NOT ok").drop("ok").join(led, ["bucket", "text_key"], "left_anti"), "near-left")
+        leaders *= 4
+        member = stored(_meetings(rows, leaders), "near-members")
         if member.isEmpty():
             break
     return known.filter("ok").select("u", "v")
