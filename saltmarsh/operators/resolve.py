@@ -30,10 +30,14 @@ def names_similar(query: Column | str, candidate: Column | str, threshold: float
     return (q != "") & (c != "") & (within | (matching_ratio(q, c) >= threshold))
 
 
+def name_keys(mentions: DataFrame) -> DataFrame:
+    """compound_name, normalized_name, seq (the first) of each distinct spelling: keys are made once a spelling."""
+    return mentions.groupBy("compound_name").agg(F.min("seq").alias("seq")).withColumn("normalized_name", X.name_key("compound_name"))
+
+
 def unique_names(mentions: DataFrame) -> DataFrame:
     """normalized_name, input_name (the first spelling)."""
-    rows = mentions.withColumn("normalized_name", X.name_key("compound_name")).filter("normalized_name <> ''")
-    return rows.groupBy("normalized_name").agg(F.min_by("compound_name", "seq").alias("input_name"))
+    return name_keys(mentions).filter("normalized_name <> ''").groupBy("normalized_name").agg(F.min_by("compound_name", "seq").alias("input_name"))
 
 
 def resolve_names(names: DataFrame, dimension: DataFrame, synonyms: DataFrame | None = None, suggestions: DataFrame | None = None) -> DataFrame:
@@ -72,9 +76,10 @@ def resolve_names(names: DataFrame, dimension: DataFrame, synonyms: DataFrame |
 
 def with_resolution(mentions: DataFrame, resolved: DataFrame) -> DataFrame:
     """Mentions with their name's resolution; unresolved ones with the sentinels."""
-    keyed = mentions.withColumn("normalized_name", X.name_key("compound_name"))
+    keys = name_keys(mentions).drop("seq")
     defaults = {"cid": NOT_FOUND, "lookup_status": "not_found", "strategy": "none", **dict.fromkeys(PROPERTIES, NOT_FOUND)}
-    return keyed.join(resolved.select("normalized_name", *defaults), "normalized_name", "left").fillna(defaults)
+    named = keys.join(resolved.select("normalized_name", *defaults), "normalized_name", "left").fillna(defaults)
+    return mentions.join(named, "compound_name")
 
 
 def master_rows(joined: DataFrame) -> DataFrame:
