@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Rows that a broadcast side may have; beyond it the callers take a shuffled plan.
 BROADCAST_ROWS = 1_000_000
+#: The setting for the bytes of a batch, and the bound.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
 _PACKAGE = Path(__file__).resolve().parents[1]
 
 
@@ -65,8 +67,14 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once a context, so that they need no shared installation."""
+    """Sends this package to the Python workers, once a context, so that they need no shared installation.
+
+    It also bounds the bytes of a batch that goes to a worker, unless the session has a bound of its own: rows may be
+    long, and each worker holds a batch beside what it makes of it.
+    """
     sc = spark.sparkContext
+    if int(spark.conf.get(BATCH_BYTES[0]).rstrip("bB")) > BATCH_BYTES[1]:
+        spark.conf.set(BATCH_BYTES[0], str(BATCH_BYTES[1]))
     if getattr(sc, "_saltmarsh_shipped", False):
         return
     target = os.path.join(tempfile.mkdtemp(prefix="saltmarsh-code-"), "saltmarsh-package.zip")

@@ -39,7 +39,7 @@ REGISTERS, BAND_ROWS, SIMILAR = 64, 4, 0.8
 #: Members that meet a copy of their leader's text in one task.
 PER_LEADER = 256
 #: Bytes of text that are sketched at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def _fraction(x: np.ndarray) -> np.ndarray:
