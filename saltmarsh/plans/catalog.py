@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import compounds, documents, papers
+from . import compounds, documents, papers, streams
 
-QUERIES = {**papers.QUERIES, **documents.QUERIES, **compounds.QUERIES}
-ORACLE_SQL = {**papers.ORACLE_SQL, **documents.ORACLE_SQL, **compounds.ORACLE_SQL}
+QUERIES = {**papers.QUERIES, **documents.QUERIES, **compounds.QUERIES, **streams.QUERIES}
+ORACLE_SQL = {**papers.ORACLE_SQL, **documents.ORACLE_SQL, **compounds.ORACLE_SQL, **streams.ORACLE_SQL}

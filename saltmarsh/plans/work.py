@@ -1,0 +1,17 @@
+"""Paths for intermediate tables in the folder that driver and executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in spark.checkpoint.dir; a local folder is used only where that is unset."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = f"file://{tempfile.mkdtemp(prefix='saltmarsh-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/saltmarsh/{name}-{uuid.uuid4().hex}"
