@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import present
 from ..functions.values import PROMPT_ABSTRACT_CHARS, SCORE_THRESHOLD
@@ -32,7 +33,7 @@ def with_prompt(papers: DataFrame, template: str, column: str = "prompt") -> Dat
 
 def with_answers(papers: DataFrame, backend: Callable[[list[str]], list[str | None]], prompt: str = "prompt", column: str = "answer") -> DataFrame:
     """The answers of a backend (prompts to answers, None on failure) beside the papers."""
-    schema = papers.schema.add(column, "string")
+    schema = StructType([*papers.schema.fields, StructField(column, StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -67,7 +67,7 @@ def _crossref(g: Callable[[str], Column]) -> list[Column]:
 
 
 def _europe_pmc(g: Callable[[str], Column]) -> list[Column]:
-    authors = _filled(F.transform(F.split(F.coalesce(g("authorString"), F.lit("")), ","), F.trim))
+    authors = _filled(F.transform(F.split(F.coalesce(g("authorString"), F.lit("")), ","), lambda a: F.trim(a)))
     return _row(g("doi"), g("title"), g("abstractText"), X.year_of(g("pubYear")), _or_empty(g("keywordList.keyword")), authors, g("journalTitle"), g("citedByCount"), F.coalesce(g("isOpenAccess") == "Y", F.lit(False)), g("pmid"))
 
 
