@@ -26,6 +26,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from .remote import Committed, at
 from .simple8b import pack, unpack
 
 MAGIC = b"SM8B0001"
-SEGMENT_IDS, ROLL_IDS, CACHED_WORDS, JOINED_WORDS = 1 << 20, 1 << 26, 1_500_000, 2000
+SEGMENT_IDS, ROLL_IDS, CACHED_WORDS, JOINED_WORDS = 1 << 20, 1 << 26, 1_000_000, 2000
 # ASCII punctuation that the tokenizer never joins to letters before it (the apostrophe is not among it)
 PUNCTUATION = ".,;:!?*#$%&|-_()[]{}<>=+/\\\"^~`@"
 
@@ -119,6 +120,12 @@ class WordIds:
         return out, np.concatenate(([0], ends))[cuts]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordIds:
+    """One encoder a worker, so that its words outlive a task."""
+    return WordIds(path)
+
+
 def segment(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     """One segment of whole documents."""
     values = np.concatenate(ids)
@@ -154,7 +161,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        part, attempt, encoder, made = task.partitionId(), str(task.taskAttemptId()), WordIds(tokenizer), []
+        part, attempt, encoder, made = task.partitionId(), str(task.taskAttemptId()), encoder_of(tokenizer), []
         out, held, doc_ids, ids = None, 0, [], []
 
         def flush() -> None:
