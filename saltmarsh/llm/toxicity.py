@@ -32,7 +32,7 @@ from .labelled import label_counts, training_rows
 
 TOXIC_DOCS, ORDINARY_DOCS, MAX_TRAIN_BYTES = 2000, 4000, 60_000
 WINDOW, LEVEL, COMMON_WORDS = 12, 6, 3000
-RUN_LENGTHS, LEAST_GAIN, LEAST_DOCS, LEAST_LIFT, MOST_RUNS = range(5, 13), 40.0, 6, 3.0, 400
+RUN_LENGTHS, LEAST_GAIN, LEAST_DOCS, LEAST_LIFT, MOST_RUNS = range(5, 13), 25.0, 6, 5.0, 40
 THRESHOLD = 0.5
 
 
@@ -86,7 +86,7 @@ def contrast(own: list[str], other: list[str]) -> list[str]:
     taken: list[str] = []
     joined = ""
     for _, _, k in ranked:
-        if len(taken) < MOST_RUNS and k not in joined and not any(x in k for x in taken):
+        if len(taken) < MOST_RUNS and k not in joined and not any(x.strip() in k for x in taken):
             taken.append(k)
             joined += "|" + k
     return taken
