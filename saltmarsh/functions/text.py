@@ -41,7 +41,7 @@ def _decomposed() -> tuple[str, str, dict[str, str]]:
 
 def spelt_out(c: Column, table: dict[str, str]) -> Column:
     """Single characters replaced by strings; texts without any of them are left alone."""
-    pairs = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    pairs = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in table.items()) + ")")  # one call for the whole table
     letters = F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(pairs, x), x))
     return F.when(c.rlike("[" + "".join(table) + "]"), F.array_join(letters, "")).otherwise(c)
 
