@@ -122,3 +122,4 @@ def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iter
         total += n
     if begin < len(sizes):
         yield batch.slice(begin)
+    pa.default_memory_pool().release_unused()  # idle workers would keep it otherwise

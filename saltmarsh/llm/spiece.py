@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import chunks, ship_package, text_or_empty
 
 BLANK = "▁"
-CACHED_UNITS, LONGEST_CACHED, CACHED_PAIRS = 1_000_000, 48, 1_000_000
+CACHED_UNITS, LONGEST_CACHED, CACHED_PAIRS = 400_000, 48, 400_000
 # Fixed values of the format: kinds of pieces
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Stands for no piece before.
