@@ -10,8 +10,9 @@ Registers are banded by four. In each bucket all texts are linked to one leader
 verified on the whole texts (Jaccard of shingle sets, or of weighted sets where that is larger, 0.8 or
 more). Texts of buckets with links that fail meet again in buckets of their rarest shingles, of which
 similar texts must share one, so that a passage common to thousands of dissimilar texts brings no two
-of them together; what finds no similar leader there meets four times as many leaders, until all have met.
-No bucket is capped, and no pairs of a group are listed. Verified links make the components.
+of them together. There they meet a few leaders first, to join what is plainly alike; then each text meets all others
+of its bucket, linked or not, that are not of its component yet. Only pairs that cannot be similar by their
+sizes and the shingle's places are left out. No bucket is capped. Verified links make the components.
 
 Nulls: a null text counts as empty and an empty text is like no other, each such row its own class;
 null ids are allowed (a class then is named by its smallest id that is not null, if it has one).
@@ -38,6 +39,8 @@ from .shingles import mixed, shingle_hashes, word_hashes
 REGISTERS, BAND_ROWS, SIMILAR = 64, 4, 0.8
 #: Members that meet a copy of their leader's text in one task.
 PER_LEADER = 256
+#: Leaders of each bucket of rare shingles, round by round, before all texts of it meet.
+LEADERS = (4,)
 #: Bytes of text that are sketched at a time.
 CHUNK_BYTES = 2 << 20
 
@@ -186,31 +189,41 @@ def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _rare_shingles(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """bucket (a shingle), text_key: for each text its rarest shingles, of which similar texts must share one.
+    """bucket (a shingle), text_key, size, place, plain: for each text its rarest shingles, of which similar texts must share one.
 
     With shingles in one order for all texts, sets of Jaccard similarity s share one of the first n - ceil(s n) + 1 of
-    either. Rarest first keeps what many texts have in common (a licence, a long quotation) out of these.
+    either. Rarest first keeps what many texts have in common (a licence, a long quotation) out of these. A text
+    is plain if no shingle repeats in it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "body"):
-                text, shingle, _ = weighted(*shingle_hashes(*word_hashes(part.column("body"))))
-                yield pa.RecordBatch.from_arrays([part.column("text_key").take(pa.array(text)), pa.array(shingle.view(np.int64)), pa.array(np.bincount(text, minlength=part.num_rows)[text])], ["text_key", "bucket", "size"])
+                text, shingle, weight = weighted(*shingle_hashes(*word_hashes(part.column("body"))))
+                most = np.zeros(part.num_rows)
+                np.maximum.at(most, text, weight)
+                yield pa.RecordBatch.from_arrays([part.column("text_key").take(pa.array(text)), pa.array(shingle.view(np.int64)), pa.array(np.bincount(text, minlength=part.num_rows)[text]), pa.array((most == 1)[text])], ["text_key", "bucket", "size", "plain"])
 
-    rows = stored(texts.select("text_key", "body").mapInArrow(run, "text_key binary, bucket long, size long"), "near-shingles")
+    rows = stored(texts.select("text_key", "body").mapInArrow(run, "text_key binary, bucket long, size long, plain boolean"), "near-shingles")
     often = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts"))
     order = Window.partitionBy("text_key").orderBy("texts", "bucket")
-    first = rows.join(often, "bucket").withColumn("_place", F.row_number().over(order))
-    return first.filter((F.col("_place") <= F.col("size") - F.ceil(F.col("size") * similar) + 1) & (F.col("texts") > 1)).select("text_key", "bucket")
+    first = rows.join(often, "bucket").withColumn("place", F.row_number().over(order))
+    return first.filter((F.col("place") <= F.col("size") - F.ceil(F.col("size") * similar) + 1) & (F.col("texts") > 1)).select("text_key", "bucket", "size", "place", "plain")
 
 
-def _meetings(rows: DataFrame, leaders: int) -> DataFrame:
-    """bucket, leader, text_key: each text of a bucket with each leader there, the least texts of `leaders` parts of the bucket by hash."""
-    part = F.pmod(F.xxhash64("text_key"), F.lit(leaders))
-    chosen = rows.groupBy("bucket", part.alias("_part")).agg(F.min("text_key").alias("leader")).drop("_part")
-    met = rows.join(chosen, "bucket").filter("text_key <> leader")
-    return met.select("bucket", "leader", "text_key")
+def _meetings(rows: DataFrame, leaders: int | None, similar: float = SIMILAR) -> DataFrame:
+    """u, v: texts of one bucket and of two components that can be similar; with `leaders` only those with a leader, the least texts of so many parts of the bucket by hash."""
+    led = rows.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("text_key", "size", "place", "plain", "label")])
+    if leaders is None:
+        met = rows.join(led, "bucket").filter("text_key < _text_key")
+    else:
+        least = F.min_by(F.struct("_text_key", "_size", "_place", "_plain", "_label"), "_text_key").alias("least")
+        led = led.groupBy("bucket", F.pmod(F.xxhash64("_text_key"), F.lit(leaders)).alias("_part")).agg(least).select("bucket", "least.*")
+        met = rows.join(led, "bucket").filter("text_key <> _text_key")
+    # at the first shingle two sets share, they have no more in common than it and what follows; weights may make up for it where one repeats
+    common = 1 + F.least(F.col("size") - F.col("place"), F.col("_size") - F.col("_place"))
+    may = common * (1 + similar) >= (F.col("size") + F.col("_size")) * similar - 1e-6
+    return met.filter("label <> _label").filter(may | ~(F.col("plain") & F.col("_plain"))).select(*_pair("text_key", "_text_key")).distinct()
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -227,29 +240,28 @@ def near_links(sketch: DataFrame, docs: DataFrame, text: str = "text", similar:
     tags = stored(met.select(F.col("row_tag").alias("_tag"), "text_key").distinct(), "near-tags")
     own = tagged(docs, "_own_tag").select("_own_tag", text_or_empty(text).alias("body"))
     texts = stored(own.join(if_small(tags), F.col("_own_tag") == F.col("_tag")).select("text_key", "body"), "near-texts")
-    member, known, leaders = met.select("bucket", "leader", "text_key").filter("text_key <> leader"), None, 1
-    while True:
-        edges = member.select(*_pair("leader", "text_key")).distinct()
-        fresh = stored(edges if known is None else edges.join(known, ["u", "v"], "left_anti"), "near-edges")
-        checked = stored(verified(fresh, texts).withColumn("ok", F.col("similarity") >= similar), "near-verified")
-        known = checked if known is None else known.unionByName(checked)
-        paired = member.select("*", *_pair("leader", "text_key")).join(known.select("u", "v", "ok"), ["u", "v"])
-        if leaders == 1:
-            # all texts of buckets with a failed link meet again by their rare shingles
-            wrong = stored(paired.filter("NOT ok").select("bucket").distinct(), "near-failed")
-            if wrong.isEmpty():
+    member = met.select("bucket", "leader", "text_key").filter("text_key <> leader")
+
+    def check(edges: DataFrame) -> DataFrame:
+        return stored(verified(stored(edges, "near-edges"), texts).withColumn("ok", F.col("similarity") >= similar), "near-verified")
+
+    known = check(member.select(*_pair("leader", "text_key")).distinct())
+    failed = member.select("bucket", *_pair("leader", "text_key")).join(known.filter("NOT ok").select("u", "v"), ["u", "v"])
+    wrong = stored(failed.select("bucket").distinct(), "near-failed")
+    if not wrong.isEmpty():
+        # all texts of buckets with a failed link meet again by their rare shingles
+        again = met.join(if_small(wrong), "bucket", "left_semi").select("text_key").distinct()
+        rows = stored(_rare_shingles(texts.join(if_small(stored(again, "near-again")), "text_key", "left_semi"), similar), "near-rare")
+        for leaders in (*LEADERS, None):
+            labels = stored(components(known.filter("ok")), "near-joined").withColumnRenamed("node", "text_key")
+            labelled = stored(rows.join(if_small(labels), "text_key", "left").withColumn("label", F.coalesce("label", "text_key")), "near-labelled")
+            # buckets all of one component have no more to give
+            mixed_up = stored(labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket"), "near-mixed")
+            if mixed_up.isEmpty():
                 break
-            again = met.join(if_small(wrong), "bucket", "left_semi").select("text_key").distinct()
-            rows = stored(_rare_shingles(texts.join(if_small(stored(again, "near-again")), "text_key", "left_semi"), similar), "near-rare")
-        else:
-            # what is no leader and has found none similar in its bucket meets other leaders
-            done = paired.groupBy("bucket", "text_key").agg(F.max("ok").alias("ok"))
-            led = member.select("bucket", F.col("leader").alias("text_key")).distinct()
-            rows = stored(done.filter("NOT ok").drop("ok").join(led, ["bucket", "text_key"], "left_anti"), "near-left")
-        leaders *= 4
-        member = stored(_meetings(rows, leaders), "near-members")
-        if member.isEmpty():
-            break
+            rows = stored(labelled.join(if_small(mixed_up), "bucket", "left_semi"), "near-left")
+            known = known.unionByName(check(_meetings(rows, leaders, similar).join(known.select("u", "v"), ["u", "v"], "left_anti")))
+            rows = rows.drop("label")
     return known.filter("ok").select("u", "v")
 
 

@@ -179,6 +179,26 @@ def test_near_against_all_pairs(spark, tmp_path):
     assert got == {i: root(i) for i in parent}
 
 
+def test_near_star(spark, tmp_path):
+    """Copies that are like their original but not like each other, some of it linked before they meet it."""
+    rng, texts = random.Random(21), []
+    for n in (120, 100):
+        base = make_words(rng, 304)
+        texts.append(" ".join(base))
+        for _ in range(n):
+            w = list(base)
+            for k in rng.sample(range(2, 302, 6), 6):
+                w[k] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+    spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS).repartition(3).write.parquet(str(tmp_path / "d"))
+    sets = shingle_sets(dict(enumerate(texts)))
+    alike = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len({b for a, b in alike if a == 0}) == 120 and len({b for a, b in alike if a == 121}) == 100
+    assert len(alike) < 0.2 * 220 * 219 / 2  # most copies are alike to the original only
+    got = {r.doc_id: r.class_id for r in near.near_groups(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert got == {i: 0 if i <= 120 else 121 for i in range(222)}
+
+
 def test_near_odd_rows(docs, no_docs):
     got = near.near_groups(docs).collect()
     assert len(got) == len(odd_rows())
