@@ -254,6 +254,23 @@ def test_passages(spark, tmp_path):
     assert span == (100, 180)
 
 
+@pytest.mark.parametrize("block, size", [(25, 60), (40, 80), (60, 60)])
+def test_spans_beside_another_shared_block(block, size):
+    """A passage with an edit next to a block that is shared too but lies elsewhere in the other text."""
+    rng = random.Random(block)
+    b, p = make_words(rng, block), make_words(rng, size)
+    edited = [*p[: size // 2], "changed", *p[size // 2 + 1 :]]
+    one = make_words(rng, 30) + b + p + make_words(rng, 40)
+    for two, at in ((edited + make_words(rng, 70) + b, 0), (make_words(rng, 50) + b + make_words(rng, 90) + edited, 140 + block)):
+        tokens, starts = shingles.shingle_hashes(*shingles.word_hashes(pa.array([" ".join(one), " ".join(two)])))
+        u, v = tokens[: starts[1]], tokens[starts[1] :]
+        for x, y, swap in ((u, v, False), (v, u, True)):
+            got = passages.shared_spans(x, y)
+            spans = [(c, d, a, b, j) if swap else (a, b, c, d, j) for a, b, c, d, j in got]
+            assert any(abs(s[0] - 30 - block) <= 4 and abs(s[1] - 30 - block - size + 4) <= 4 and abs(s[2] - at) <= 4 and abs(s[3] - at - size + 4) <= 4 for s in spans), spans
+            assert all(j >= 0.8 and shingles.jaccard(np.unique(u[a:b]), np.unique(v[c:d])) == pytest.approx(j) for a, b, c, d, j in spans)
+
+
 def test_passages_of_nothing(no_docs):
     assert passages.passage_links(no_docs).count() == 0
 
