@@ -254,6 +254,24 @@ def test_passages(spark, tmp_path):
     assert span == (100, 180)
 
 
+def test_passage_variants(spark, tmp_path):
+    """One passage with two edits in each text: every text that shares it with another has a span over it."""
+    rng = random.Random(3)
+    base, texts = make_words(rng, 100), []
+    for i in range(32):
+        p = list(base)
+        for k in rng.sample(range(6, 94, 6), 2 if i else 0):
+            p[k] = f"new{rng.randrange(10**6)}"
+        texts.append(make_words(rng, 40) + p + make_words(rng, 40))
+    order = texts[1:20] + texts[:1] + texts[20:]
+    spark.createDataFrame([(i, " ".join(t), None, None, None) for i, t in enumerate(order)], DOCS).coalesce(1).write.parquet(str(tmp_path / "d"))
+    sets = shingle_sets({i: " ".join(t[40:140]) for i, t in enumerate(order)})
+    alike = {i for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for i in (a, b)}
+    assert len(alike) == 32
+    spans = [s for r in passages.passage_links(spark.read.parquet(str(tmp_path / "d"))).collect() for s in ((r.doc_id, r.start_word, r.end_word), (r.other_id, r.other_start, r.other_end))]
+    assert {d for d, b, e in spans if min(e, 140) - max(b, 40) >= 50} == alike
+
+
 @pytest.mark.parametrize("block, size", [(25, 60), (40, 80), (60, 60)])
 def test_spans_beside_another_shared_block(block, size):
     """A passage with an edit next to a block that is shared too but lies elsewhere in the other text."""
