@@ -6,13 +6,22 @@ shingle that came first. Two registers agree with the probability Jaccard simila
 shingle sets. A text's processes are followed only to the time by which all registers have been hit
 (early termination): later arrivals cannot change a register.
 
-Registers are banded by four. In each bucket all texts are linked to one leader and each link is
-verified on the whole texts (Jaccard of shingle sets, or of weighted sets where that is larger, 0.8 or
-more). Texts of buckets with links that fail meet again in buckets of their rarest shingles, of which
-similar texts must share one, so that a passage common to thousands of dissimilar texts brings no two
-of them together. There they meet a few leaders first, to join what is plainly alike; then each text meets all others
-of its bucket, linked or not, that are not of its component yet. Only pairs that cannot be similar by their
-sizes and the shingle's places are left out. No bucket is capped. Verified links make the components.
+Registers are banded by four. In each bucket all texts are linked to one leader, the text with most company in its
+buckets, and each link is verified on the whole texts (Jaccard of the shingle sets, 0.8 or more). That joins what is
+plainly alike. A link that fails leaves texts of one bucket in several components, and their texts may still be
+similar to each other. They are compared by how they differ from their leader, not by what they have in common with it:
+
+- With a(v) shingles in only one of v and the leader, and s(v) shingles, v and w are similar exactly if their
+  differences share c = (a(v) + a(w) - (s(v) + s(w)) / 9) / 2 shingles or more. Copies of one text share next to none.
+- Where c is 0 or less both are similar to the text with the largest s / 9 - a, which is therefore met by all of these.
+- Else v and w share one of the a(v) - c + 1 rarest shingles of v's difference (a prefix filter, with rarity counted among
+  the leader's texts). The prefixes are cut for each class of s / 9 - a apart, so that c is known closely, and
+  only pairs of two components whose places leave room for c are verified.
+- Texts far from the leader (below 0.5) have no short difference from it and meet by the rarest of all their shingles,
+  which is the same rule with an empty leader. By the triangle inequality of the Jaccard distance a text
+  similar to one of 0.5 or more has itself 0.3 or more, so differences are kept down to that.
+
+So no bucket is capped, none is listed pair by pair, and no similar pair of a bucket ends in two classes.
 
 Nulls: a null text counts as empty and an empty text is like no other, each such row its own class;
 null ids are allowed (a class then is named by its smallest id that is not null, if it has one).
@@ -39,8 +48,12 @@ from .shingles import mixed, shingle_hashes, word_hashes
 REGISTERS, BAND_ROWS, SIMILAR = 64, 4, 0.8
 #: Members that meet a copy of their leader's text in one task.
 PER_LEADER = 256
-#: Leaders of each bucket of rare shingles, round by round, before all texts of it meet.
-LEADERS = (4,)
+#: Similarity to its leader below which a text is compared by its own shingles.
+FAR = 0.5
+#: Classes of texts of one leader for each unit of the inverse hyperbolic sine of their gain.
+CLASSES = 8
+#: Shingles of differences that a worker holds before it hands them on.
+HELD = 1 << 20
 #: Bytes of text that are sketched at a time.
 CHUNK_BYTES = 2 << 20
 
@@ -128,28 +141,6 @@ def sketch_table(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return rows_in.mapInArrow(run, f"row_tag long, doc_id {id_type}, text_key binary, bands array<long>")
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Of two sorted shingle sets with weights: the larger of set Jaccard and probability Jaccard."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    union = len(a[0]) + len(b[0]) - len(i)
-    if not union or not len(i):
-        return 0.0
-    plain = len(i) / union
-    if plain >= SIMILAR or (a[1].max() == 1 and b[1].max() == 1):
-        return plain
-    # probability Jaccard: sum over shared x of 1 / sum over all y of max(a_y / a_x, b_y / b_x)
-    every = np.union1d(a[0], b[0])
-    wa, wb = np.zeros(len(every)), np.zeros(len(every))
-    wa[np.searchsorted(every, a[0])], wb[np.searchsorted(every, b[0])] = a[1], b[1]
-    ratio = np.divide(wa, wb, out=np.full(len(every), np.inf), where=wb > 0)
-    order = np.argsort(ratio)
-    wa, wb, ratio = wa[order], wb[order], ratio[order]
-    above = np.concatenate((np.cumsum(wa[::-1])[::-1], [0]))  # where a_y / b_y is no less than a_x / b_x, a_y / a_x is the larger
-    below = np.concatenate(([0], np.cumsum(wb)))
-    shared = np.flatnonzero((wa > 0) & (wb > 0))
-    return max(plain, float((1.0 / (above[shared] / wa[shared] + below[shared] / wb[shared])).sum()))
-
-
 def leader_pairs(edges: DataFrame, texts: DataFrame, key_type: str = "binary") -> DataFrame:
     """Rows (u, part, v, body) for a streaming comparison: in each (u, part) the leader's own text comes first, with v null.
 
@@ -163,106 +154,128 @@ def leader_pairs(edges: DataFrame, texts: DataFrame, key_type: str = "binary") -
     return leaders.unionByName(members).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
 
 
-def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """edges (u, v) with the similarity of their whole texts."""
+def verified(edges: DataFrame, texts: DataFrame, down_to: float = 2.0) -> DataFrame:
+    """edges (u, v) with both sizes in shingles, the similarity of the whole texts, and the shingles of only one of them (null below the similarity `down_to`)."""
+    names = ["u", "v", "size_u", "size_v", "similarity", "difference"]
+    kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64()]
+
+    def rows(out: list[tuple], found: list[np.ndarray | None]) -> pa.RecordBatch:
+        ends = np.cumsum([0] + [0 if x is None else len(x) for x in found]).astype(np.int32)
+        flat = np.concatenate([np.zeros(0, np.uint64)] + [x for x in found if x is not None])
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)), mask=pa.array([x is None for x in found]))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)] + [lists], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leader, own = None, None
         for batch in batches:
             for part in chunks(batch, "body"):
-                hashed, starts = shingle_hashes(*word_hashes(part.column("body")))
-                text, shingle, weight = weighted(hashed, starts)
+                text, shingle, _ = weighted(*shingle_hashes(*word_hashes(part.column("body"))))
                 cuts = np.searchsorted(text, np.arange(part.num_rows + 1))
-                us, vs, out = part.column("u").to_pylist(), part.column("v").to_pylist(), ([], [], [])
-                for i, (u, v) in enumerate(zip(us, vs, strict=True)):
-                    mine = (shingle[cuts[i] : cuts[i + 1]], weight[cuts[i] : cuts[i + 1]])
+                out, found, held = [], [], 0
+                for i, (u, v) in enumerate(zip(part.column("u").to_pylist(), part.column("v").to_pylist(), strict=True)):
+                    mine = shingle[cuts[i] : cuts[i + 1]]
                     if v is None:
                         leader, own = u, mine
                         continue
                     assert leader == u
-                    for to, x in zip(out, (u, v, similarity(own, mine)), strict=True):
-                        to.append(x)
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.float64())], ["u", "v", "similarity"])
+                    apart = np.setxor1d(own, mine, assume_unique=True)
+                    total = len(own) + len(mine)
+                    alike = (total - len(apart)) / max(1, total + len(apart))
+                    out.append((u, v, len(own), len(mine), alike))
+                    found.append(apart if alike >= down_to else None)
+                    held += len(apart) if alike >= down_to else 0
+                    if held > HELD:
+                        yield rows(out, found)
+                        out, found, held = [], [], 0
+                if out:
+                    yield rows(out, found)
 
-    return leader_pairs(edges, texts).mapInArrow(run, "u binary, v binary, similarity double")
+    return leader_pairs(edges, texts).mapInArrow(run, "u binary, v binary, size_u long, size_v long, similarity double, difference array<long>")
 
 
-def _rare_shingles(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """bucket (a shingle), text_key, size, place, plain: for each text its rarest shingles, of which similar texts must share one.
-
-    With shingles in one order for all texts, sets of Jaccard similarity s share one of the first n - ceil(s n) + 1 of
-    either. Rarest first keeps what many texts have in common (a licence, a long quotation) out of these. A text
-    is plain if no shingle repeats in it.
-    """
+def shingle_table(texts: DataFrame) -> DataFrame:
+    """text_key and all distinct shingles of texts (text_key, body)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "body"):
-                text, shingle, weight = weighted(*shingle_hashes(*word_hashes(part.column("body"))))
-                most = np.zeros(part.num_rows)
-                np.maximum.at(most, text, weight)
-                yield pa.RecordBatch.from_arrays([part.column("text_key").take(pa.array(text)), pa.array(shingle.view(np.int64)), pa.array(np.bincount(text, minlength=part.num_rows)[text]), pa.array((most == 1)[text])], ["text_key", "bucket", "size", "plain"])
-
-    rows = stored(texts.select("text_key", "body").mapInArrow(run, "text_key binary, bucket long, size long, plain boolean"), "near-shingles")
-    often = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts"))
-    order = Window.partitionBy("text_key").orderBy("texts", "bucket")
-    first = rows.join(often, "bucket").withColumn("place", F.row_number().over(order))
-    return first.filter((F.col("place") <= F.col("size") - F.ceil(F.col("size") * similar) + 1) & (F.col("texts") > 1)).select("text_key", "bucket", "size", "place", "plain")
-
-
-def _meetings(rows: DataFrame, leaders: int | None, similar: float = SIMILAR) -> DataFrame:
-    """u, v: texts of one bucket and of two components that can be similar; with `leaders` only those with a leader, the least texts of so many parts of the bucket by hash."""
-    led = rows.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("text_key", "size", "place", "plain", "label")])
-    if leaders is None:
-        met = rows.join(led, "bucket").filter("text_key < _text_key")
-    else:
-        least = F.min_by(F.struct("_text_key", "_size", "_place", "_plain", "_label"), "_text_key").alias("least")
-        led = led.groupBy("bucket", F.pmod(F.xxhash64("_text_key"), F.lit(leaders)).alias("_part")).agg(least).select("bucket", "least.*")
-        met = rows.join(led, "bucket").filter("text_key <> _text_key")
-    # at the first shingle two sets share, they have no more in common than it and what follows; weights may make up for it where one repeats
-    common = 1 + F.least(F.col("size") - F.col("place"), F.col("_size") - F.col("_place"))
-    may = common * (1 + similar) >= (F.col("size") + F.col("_size")) * similar - 1e-6
-    return met.filter("label <> _label").filter(may | ~(F.col("plain") & F.col("_plain"))).select(*_pair("text_key", "_text_key")).distinct()
+            for part in chunks(batch, "body", CHUNK_BYTES):
+                text, shingle, _ = weighted(*shingle_hashes(*word_hashes(part.column("body"))))
+                cuts = np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("text_key"), pa.ListArray.from_arrays(pa.array(cuts), pa.array(shingle.view(np.int64)))], ["text_key", "difference"])
+
+    return texts.select("text_key", "body").mapInArrow(run, "text_key binary, difference array<long>")
 
 
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
+def _mixed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys at which texts of several components meet."""
+    return rows.groupBy(*keys).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select(*keys)
+
+
+def crossings(rows: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Pairs (u, v) of texts of one leader and two components that may be similar, none that are similar left out.
+
+    rows: leader, scale (what counts as a small difference from it), text_key, label (component), size, difference; stored.
+    """
+    ratio, slight = (1 - similar) / (1 + similar), 1e-6
+    texts = rows.select("leader", "scale", "text_key", "label", "size", F.size("difference").alias("apart"))
+    texts = texts.withColumn("gain", F.col("size") * ratio - F.col("apart")).withColumn("kind", F.floor(F.asinh(F.col("gain") / F.col("scale")) * CLASSES))
+    texts = stored(texts, "near-gains")
+    best = texts.groupBy("leader").agg(F.max_by(F.struct("text_key", "gain", "label"), F.struct("gain", "text_key")).alias("best"))
+    star = texts.join(if_small(stored(best, "near-best")), "leader").filter((F.col("gain") + F.col("best.gain") >= -slight) & (F.col("label") != F.col("best.label")))
+    star = star.select(F.col("best.text_key").alias("u"), F.col("text_key").alias("v"))
+    # the places up to which a text's prefix for each class of its leader's texts goes
+    kinds = stored(texts.groupBy("leader", F.col("kind").alias("with")).agg(F.min("label").alias("_low"), F.max("label").alias("_high")), "near-kinds")
+    least = -(F.col("gain") + F.col("scale") * F.sinh((F.col("with") + 1) / CLASSES)) / 2
+    last = F.col("apart") - F.greatest(F.ceil(least - slight), F.lit(1)) + 1
+    cut = texts.join(if_small(kinds), "leader").filter("_low <> label OR _high <> label").withColumn("last", last).filter("last >= 1").drop("_low", "_high", "scale")
+    items = rows.select("leader", "text_key", "label", F.explode("difference").alias("item"))
+    often = items.groupBy("leader", "item").agg(F.count(F.lit(1)).alias("texts"), F.min("label").alias("low"), F.max("label").alias("high"))
+    place = F.row_number().over(Window.partitionBy("leader", "text_key").orderBy("texts", "item"))
+    placed = items.drop("label").join(often, ["leader", "item"]).withColumn("place", place).filter("low < high").drop("texts", "low", "high")
+    ends = placed.join(cut, ["leader", "text_key"]).filter("place <= last")
+    ends = ends.select("leader", "item", F.least("kind", "with").alias("lower"), F.greatest("kind", "with").alias("upper"), "kind", "text_key", "label", "size", "apart", "place")
+    ends = stored(ends, "near-prefixes")
+    meet = ["leader", "item", "lower", "upper"]
+    ends = ends.join(if_small(stored(_mixed(ends, meet), "near-mixed")), meet, "left_semi")
+    other = ends.filter("kind = upper").select(*meet, *[F.col(c).alias(f"_{c}") for c in ("text_key", "label", "size", "apart", "place")])
+    need = (F.col("apart") + F.col("_apart") - (F.col("size") + F.col("_size")) * ratio) / 2
+    room = 1 + F.least(F.col("apart") - F.col("place"), F.col("_apart") - F.col("_place"))
+    may = (need <= room + slight) & (F.least("size", "_size") >= F.greatest("size", "_size") * similar - slight)
+    one_way = (F.col("lower") < F.col("upper")) | (F.col("text_key") < F.col("_text_key"))
+    met = ends.filter("kind = lower").join(other, meet).filter((F.col("label") != F.col("_label")) & one_way & may)
+    return star.select(*_pair("u", "v")).unionByName(met.select(*_pair("text_key", "_text_key"))).distinct()
+
+
 def near_links(sketch: DataFrame, docs: DataFrame, text: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """Verified links (u, v) between distinct texts, by text key; sketch: the stored `sketch_table` of docs."""
+    """Verified links (u, v) between distinct texts, by text key, that make the classes; sketch: the stored `sketch_table` of docs."""
     distinct = sketch.filter("bands IS NOT NULL").groupBy("text_key").agg(F.min_by("bands", "row_tag").alias("bands"), F.min("row_tag").alias("row_tag"))
     rows = distinct.select("text_key", "row_tag", F.posexplode("bands").alias("band", "key")).select("text_key", "row_tag", F.xxhash64("band", "key").alias("bucket"))
     rows = stored(rows, "near-bands")
-    several = rows.groupBy("bucket").agg(F.min("text_key").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = stored(rows.join(several, "bucket").select("bucket", "text_key", "row_tag", "leader"), "near-members")
-    tags = stored(met.select(F.col("row_tag").alias("_tag"), "text_key").distinct(), "near-tags")
+    several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = stored(rows.join(several, "bucket"), "near-members")
+    tags = stored(met.groupBy("text_key").agg(F.min("row_tag").alias("_tag"), F.sum("n").alias("company")), "near-tags")
     own = tagged(docs, "_own_tag").select("_own_tag", text_or_empty(text).alias("body"))
     texts = stored(own.join(if_small(tags), F.col("_own_tag") == F.col("_tag")).select("text_key", "body"), "near-texts")
-    member = met.select("bucket", "leader", "text_key").filter("text_key <> leader")
-
-    def check(edges: DataFrame) -> DataFrame:
-        return stored(verified(stored(edges, "near-edges"), texts).withColumn("ok", F.col("similarity") >= similar), "near-verified")
-
-    known = check(member.select(*_pair("leader", "text_key")).distinct())
-    failed = member.select("bucket", *_pair("leader", "text_key")).join(known.filter("NOT ok").select("u", "v"), ["u", "v"])
-    wrong = stored(failed.select("bucket").distinct(), "near-failed")
-    if not wrong.isEmpty():
-        # all texts of buckets with a failed link meet again by their rare shingles
-        again = met.join(if_small(wrong), "bucket", "left_semi").select("text_key").distinct()
-        rows = stored(_rare_shingles(texts.join(if_small(stored(again, "near-again")), "text_key", "left_semi"), similar), "near-rare")
-        for leaders in (*LEADERS, None):
-            labels = stored(components(known.filter("ok")), "near-joined").withColumnRenamed("node", "text_key")
-            labelled = stored(rows.join(if_small(labels), "text_key", "left").withColumn("label", F.coalesce("label", "text_key")), "near-labelled")
-            # buckets all of one component have no more to give
-            mixed_up = stored(labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket"), "near-mixed")
-            if mixed_up.isEmpty():
-                break
-            rows = stored(labelled.join(if_small(mixed_up), "bucket", "left_semi"), "near-left")
-            known = known.unionByName(check(_meetings(rows, leaders, similar).join(known.select("u", "v"), ["u", "v"], "left_anti")))
-            rows = rows.drop("label")
-    return known.filter("ok").select("u", "v")
+    typical = F.max_by("text_key", F.struct("company", "text_key")).alias("u")
+    leaders = met.join(if_small(tags.select("text_key", "company")), "text_key").groupBy("bucket").agg(typical)
+    edges = stored(met.join(leaders, "bucket").filter("text_key <> u").select("u", F.col("text_key").alias("v")).distinct(), "near-edges")
+    near = FAR - (1 - similar)
+    known = stored(verified(edges, texts, near).withColumn("ok", F.col("similarity") >= similar), "near-verified")
+    linked = known.filter("ok").select("u", "v")
+    if not known.filter("NOT ok").isEmpty():
+        labels = stored(components(linked), "near-joined").withColumnRenamed("node", "text_key")
+        close = known.filter(F.col("similarity") >= near).select(F.col("u").alias("leader"), F.greatest(F.col("size_u") * (1 - similar), F.lit(1.0)).alias("scale"), F.col("v").alias("text_key"), F.col("size_v").alias("size"), "difference")
+        distant = stored(known.filter(F.col("similarity") < FAR).select(F.col("v").alias("text_key")).distinct(), "near-distant")
+        whole = shingle_table(texts.join(if_small(distant), "text_key", "left_semi")).select(F.lit(b"").alias("leader"), F.lit(1.0).alias("scale"), "text_key", F.size("difference").cast("long").alias("size"), "difference")
+        every = stored(close.unionByName(whole).join(if_small(labels), "text_key", "left").withColumn("label", F.coalesce("label", "text_key")), "near-differences")
+        every = stored(every.join(if_small(stored(_mixed(every, ["leader"]), "near-leaders")), "leader", "left_semi"), "near-compared")
+        more = stored(crossings(every, similar).join(known.select(*_pair("u", "v")), ["u", "v"], "left_anti"), "near-crossings")
+        linked = linked.unionByName(verified(more, texts).filter(F.col("similarity") >= similar).select("u", "v"))
+    return linked.select(*_pair("u", "v")).distinct()
 
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:

@@ -165,18 +165,86 @@ def test_near_against_all_pairs(spark, tmp_path):
     rows = near_corpus()
     spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS).repartition(3).write.parquet(str(tmp_path / "d"))
     got = {r.doc_id: r.class_id for r in near.near_groups(spark.read.parquet(str(tmp_path / "d"))).collect()}
-    sets, parent = shingle_sets(dict(rows)), {i: i for i, _ in rows}
+    assert got == classes_by_hand(shingle_sets(dict(rows)))[0]
+
+
+def classes_by_hand(sets):
+    """The smallest id of each text's component over all pairs of similarity 0.8 or more, and the number of such pairs."""
+    parent, pairs = {i: i for i in sets}, 0
 
     def root(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a, b in itertools.combinations(sets, 2):
+    for a, b in itertools.combinations(sorted(sets), 2):
         if sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            pairs += 1
             x, y = sorted((root(a), root(b)))
             parent[y] = x
-    assert got == {i: root(i) for i in parent}
+    return {i: root(i) for i in sets}, pairs
+
+
+def straddling(seed):
+    """Large groups whose similarities lie on both sides of 0.8, chains that slide away from their beginning, and two groups with half their words in common."""
+    rng, texts = random.Random(seed), []
+    for _ in range(3):
+        base = make_words(rng, 200)
+        for _ in range(80):
+            w = list(base)
+            for k in rng.sample(range(200), rng.randrange(2, 6)):
+                w[k] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+    words = make_words(rng, 400)
+    texts += [" ".join(words[k : k + 160]) for k in range(0, 240, 8)]
+    half = make_words(rng, 100)
+    for _ in range(2):
+        base = half + make_words(rng, 100)
+        for _ in range(50):
+            w = list(base)
+            for k in rng.sample(range(200), rng.randrange(1, 6)):
+                w[k] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_large_groups(spark, tmp_path, seed):
+    texts = straddling(seed)
+    spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS).repartition(3).write.parquet(str(tmp_path / "d"))
+    want, pairs = classes_by_hand(shingle_sets(dict(enumerate(texts))))
+    assert pairs > 500 and len(set(want.values())) > 20
+    assert {r.doc_id: r.class_id for r in near.near_groups(spark.read.parquet(str(tmp_path / "d"))).collect()} == want
+
+
+@pytest.mark.parametrize("empty_leader", [False, True])
+def test_crossings_against_all_pairs(spark, tmp_path, empty_leader):
+    """Every similar pair of two components is among the crossings, or both meet the text of most gain."""
+    texts = straddling(3)[:170]
+    h, s = shingles.shingle_hashes(*shingles.word_hashes(pa.array(texts)))
+    sets = [np.unique(h[s[i] : s[i + 1]]) for i in range(len(texts))]
+    rows = []
+    for group, first in ((range(0, 80), 0), (range(80, 160), 80)):
+        leader = np.zeros(0, np.uint64) if empty_leader else sets[first]
+        key = b"" if empty_leader else f"{first:04}".encode()
+        for i in group:
+            if i != first or empty_leader:
+                rows.append((bytearray(key), 1.0 if empty_leader else 39.0, bytearray(f"{i:04}".encode()), bytearray(f"{i:04}".encode()), len(sets[i]), np.setxor1d(leader, sets[i]).view(np.int64).tolist()))
+    spark.createDataFrame(rows, "leader binary, scale double, text_key binary, label binary, size long, difference array<long>").write.parquet(str(tmp_path / "rows"))
+    got = {(int(r.u), int(r.v)) for r in near.crossings(spark.read.parquet(str(tmp_path / "rows"))).collect()}
+    own = [int(r[2]) for r in rows]
+    alike = {(a, b) for a, b in itertools.combinations(own, 2) if shingles.jaccard(sets[a], sets[b]) >= 0.8}
+    linked, parent = got & alike, {i: i for i in own}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in linked:
+        parent[root(b)] = root(a)
+    assert alike and all(root(a) == root(b) for a, b in alike)
+    assert len(got) < 0.5 * len(own) ** 2 / 2
 
 
 def test_near_star(spark, tmp_path):
