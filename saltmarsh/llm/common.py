@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -19,6 +20,7 @@ BROADCAST_ROWS = 1_000_000
 #: The setting for the bytes of a batch, and the bound.
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
 _PACKAGE = Path(__file__).resolve().parents[1]
+_LIBC = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -110,7 +112,14 @@ def held_out(name: str = "doc_id") -> Column:
     return F.crc32(F.col(name).cast("string").cast("binary")) % 5 == 0
 
 
-def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Returns freed memory to the system: workers are kept for later tasks, and idle ones would hold it beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose `column` holds about `max_bytes` at most (one row where a single value is longer)."""
     values = batch.column(batch.schema.get_field_index(column))
     sizes = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(zero_copy_only=False)
@@ -122,4 +131,4 @@ def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iter
         total += n
     if begin < len(sizes):
         yield batch.slice(begin)
-    pa.default_memory_pool().release_unused()  # idle workers would keep it otherwise
+    give_back()

@@ -144,13 +144,15 @@ def sketch_table(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 def leader_pairs(edges: DataFrame, texts: DataFrame, key_type: str = "binary") -> DataFrame:
     """Rows (u, part, v, body) for a streaming comparison: in each (u, part) the leader's own text comes first, with v null.
 
-    edges: (u, v) of text keys; texts: (text_key, body), one row a key. A leader with many members is dealt
-    out over parts of about `PER_LEADER` members, each with one copy of its text.
+    edges: (u, v) of text keys, further columns are carried along (null beside the leader); texts: (text_key, body), one row a key.
+    A leader with many members is dealt out over parts of about `PER_LEADER` members, each with one copy of its text.
     """
+    more = [(f.name, f.dataType) for f in edges.schema if f.name not in ("u", "v")]
     parts = edges.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / PER_LEADER).cast("int").alias("parts"))
     members = edges.join(if_small(stored(parts, "leaders")), "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
-    members = members.join(texts, F.col("v") == F.col("text_key")).select("u", "part", "v", "body")
-    leaders = parts.join(texts, F.col("u") == F.col("text_key")).select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast(key_type).alias("v"), "body")
+    members = members.join(texts, F.col("v") == F.col("text_key")).select("u", "part", "v", "body", *[c for c, _ in more])
+    own = [F.lit(None).cast(t).alias(c) for c, t in more]
+    leaders = parts.join(texts, F.col("u") == F.col("text_key")).select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast(key_type).alias("v"), "body", *own)
     return leaders.unionByName(members).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
 
 
@@ -168,7 +170,7 @@ def verified(edges: DataFrame, texts: DataFrame, down_to: float = 2.0) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leader, own = None, None
         for batch in batches:
-            for part in chunks(batch, "body"):
+            for part in chunks(batch, "body", CHUNK_BYTES):
                 text, shingle, _ = weighted(*shingle_hashes(*word_hashes(part.column("body"))))
                 cuts = np.searchsorted(text, np.arange(part.num_rows + 1))
                 out, found, held = [], [], 0

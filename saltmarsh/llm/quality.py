@@ -171,7 +171,7 @@ def with_quality(docs: DataFrame, model: QualityModel, text: str = "text", score
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = QualityModel(*shared.value)
         for batch in batches:
-            for part in chunks(batch, body):
+            for part in chunks(batch, body, 2 << 20):
                 p = 1.0 / (1.0 + np.exp(-np.clip(logits(part.column(body), own), -500, 500)))
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(names))], pa.array(p)], [*names, score])
 
