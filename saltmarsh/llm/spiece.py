@@ -4,7 +4,7 @@
 
 - the normaliser: a transducer that puts the blank mark before the text, maps blanks to it and, if the
   model says so, drops extra blanks and applies rewriting rules of characters;
-- the lexicon: a trie of arcs over the pieces' characters; a final state emits the piece's id at the cost -score;
+- the lexicon: an automaton over the pieces' characters; where a piece ends it emits the piece's id at the cost -score;
 - byte fallback: for each character an arc that emits its UTF-8 bytes' ids, at a cost above every piece's.
 
 A text is composed with these as a linear automaton (states are its positions, and only reachable arcs
@@ -32,12 +32,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, ship_package, text_or_empty
+from .common import chunks, give_back, ship_package, text_or_empty
 
 BLANK = "▁"
 CACHED_UNITS, LONGEST_CACHED, CACHED_PAIRS = 400_000, 48, 400_000
@@ -106,7 +107,6 @@ class Transducer:
 
     def __init__(self, pieces: list[Piece], dummy_prefix: bool = True, remove_extra: bool = False, escape: bool = True, rules: dict[str, str] | None = None, bpe: bool = False):
         self.pieces, self.dummy_prefix, self.remove_extra, self.escape, self.rules = pieces, dummy_prefix, remove_extra, escape, rules or {}
-        self.root: dict = {}  # a state: character to state; under None: (cost, id) of the piece that ends there
         self.bytes: dict[int, int] = {}
         self.unknown = next((i for i, p in enumerate(pieces) if p.kind == UNKNOWN), 0)
         lexicon = [(i, p) for i, p in enumerate(pieces) if p.kind in (NORMAL, USER_DEFINED) and p.text]
@@ -115,12 +115,15 @@ class Transducer:
                 self.bytes[int(p.text[1:-1], 16)] = i
             if p.kind == USER_DEFINED and bpe:
                 raise ValueError("user-defined pieces of BPE models are not supported")
+        self.costs: dict[str, tuple[float, int]] = {}
         for i, p in lexicon:
-            state = self.root
-            for c in p.text:
-                state = state.setdefault(c, {})
-            if None not in state or p.cost < state[None][0]:
-                state[None] = (p.cost, i)
+            if p.text not in self.costs or p.cost < self.costs[p.text][0]:
+                self.costs[p.text] = (p.cost, i)
+        # the lexicon: gives the arcs that end at each position, longest first
+        self.lexicon = ahocorasick.Automaton()
+        for t, (cost, i) in self.costs.items():
+            self.lexicon.add_word(t, (len(t), cost, i))
+        self.lexicon.make_automaton()
         self.fallback = max((p.cost for _, p in lexicon if p.cost < HIDDEN_COST), default=0.0) + FALLBACK_EXTRA
         inner = any(re.search(f"[^{BLANK}]{BLANK}", p.text) for _, p in lexicon)
         alone = "".join(c for c in "\t\n\r" if not any(c in p.text for _, p in lexicon))
@@ -130,7 +133,6 @@ class Transducer:
         self.bpe = bpe
         blank = lambda t: t.replace(BLANK, " ") if escape else t
         self.raw = [bytes([int(p.text[1:-1], 16)]) if p.kind == BYTE else b"" if p.kind == CONTROL else " ⁇ ".encode() if p.kind == UNKNOWN else blank(p.text).encode("utf-8", "surrogatepass") for p in pieces]
-        self.costs = {p.text: (p.cost, i) for i, p in reversed(lexicon)}
         self.apart: dict[int, bool] = {}
 
     def merges(self, symbols: list[str], boundary: int | None = None) -> list[str] | None:
@@ -167,49 +169,6 @@ class Transducer:
         """A piece's text, or a character without a piece."""
         return self.pieces[number].text if number < len(self.pieces) else chr(number - len(self.pieces))
 
-    def merged_path(self, text: str) -> list[tuple[int, int, int | None]]:
-        """The path on which all neighbours stay apart: arcs (begin, end, piece).
-
-        Arcs are tried longest first. Whatever path of finite weight leads to a position, it is the same (the
-        prefix's own encoding), so a position that led nowhere is not entered again.
-        """
-        n, root, apart, extra = len(text), self.root, self.apart, len(self.pieces)
-        path: list[tuple[int, int, int]] = []
-        todo: list[tuple[int, list[tuple[int, int]]]] = []
-        dead: set[int] = set()
-        at, before = 0, NOTHING
-        while at < n:
-            state, arcs = root, []
-            for end in range(at, n):
-                state = state.get(text[end])
-                if state is None:
-                    break
-                if None in state:
-                    arcs.append((end + 1, state[None][1]))
-            if text[at] not in self.costs:
-                arcs.insert(0, (at + 1, extra + ord(text[at])))
-            while True:
-                while arcs:
-                    end, i = arcs.pop()
-                    key = before << 22 | i
-                    fits = apart.get(key)
-                    if end not in dead and (self.stays(key) if fits is None else fits):
-                        break
-                else:
-                    # back to the last position with arcs left
-                    dead.add(at)
-                    if not path:
-                        raise ValueError("no segmentation: the pieces are not those of a merging model")
-                    path.pop()
-                    at, arcs = todo.pop()
-                    before = path[-1][2] if path else NOTHING
-                    continue
-                break
-            todo.append((at, arcs))
-            path.append((at, end, i))
-            at, before = end, i
-        return [(a, b, i if i < extra else None) for a, b, i in path]
-
     def normalise(self, text: str) -> str:
         """The normaliser's output."""
         if self.rewrite:
@@ -223,48 +182,71 @@ class Transducer:
 
     def arcs(self, text: str, at: int) -> Iterator[tuple[int, float, int | None]]:
         """End, cost and piece (None: fallback) of each arc that leaves a position of the composed automaton."""
-        state, n = self.root, len(text)
-        for end in range(at, n):
-            state = state.get(text[end])
-            if state is None:
-                break
-            if None in state:
-                cost, i = state[None]
-                yield end + 1, cost, i
+        for end in range(at + 1, len(text) + 1):
+            if text[at:end] in self.costs:
+                yield end, *self.costs[text[at:end]]
         yield at + 1, self.fallback, None
 
     def shortest(self, text: str) -> tuple[float, list[tuple[int, int, int | None]]]:
-        """Cost and arcs (begin, end, piece) of the shortest path over a normalised text."""
-        n = len(text)
-        best: list = [None] * (n + 1)
-        best[0] = (0.0, 0, -1, None)
-        root, fallback = self.root, self.fallback
-        for at in range(n):
-            cost, count, _, _ = best[at]
-            state, count = root, count + 1
-            for end in range(at, n):
-                state = state.get(text[end])
-                if state is None:
-                    break
-                final = state.get(None)
-                if final is not None:
-                    total, old = cost + final[0], best[end + 1]
-                    # positions come in order, so of equal paths the one met first has the longer last piece
-                    if old is None or total < old[0] or (total == old[0] and count < old[1]):
-                        best[end + 1] = (total, count, at, final[1])
-            total, old = cost + fallback, best[at + 1]
-            if old is None or total < old[0]:
-                best[at + 1] = (total, count, at, None)
+        """Cost and arcs (begin, end, piece) of the shortest path over a normalised text.
+
+        One relaxation, positions in order, of states (position, last piece). One state a position is enough: without the
+        acceptor of pairs the last piece does not matter, and with it only one is reached by arcs of finite weight,
+        so the arcs left at a position need no weighing once it is reached.
+        """
+        n, fallback, paired, extra = len(text), self.fallback, self.bpe, len(self.pieces)
+        apart, costs, stays = self.apart, self.costs, self.stays
+        best: list = [None] * (n + 1)  # cost, number of arcs, begin of the last arc, its piece
+        best[0] = (0.0, 0, 0, NOTHING)
+        # where single characters' arcs begin; with the acceptor a piece of one character takes the place of its fallback
+        single = [i for i, c in enumerate(text) if not paired or c not in costs]
+        offered = 0
+
+        def fall_back(up_to: int) -> int:
+            """Relaxes the single characters' arcs that end at positions up to `up_to`; how many are done."""
+            for k in range(offered, len(single)):
+                begin = single[k]
+                if begin >= up_to:
+                    return k
+                own, symbol = best[begin], extra + ord(text[begin])
+                if own is not None and (not paired or stays(own[3] << 22 | symbol)):
+                    total, old = own[0] + fallback, best[begin + 1]
+                    if old is None or total < old[0]:
+                        best[begin + 1] = (total, own[1] + 1, begin, symbol)
+            return len(single)
+
+        for last, (size, weight, piece) in self.lexicon.iter(text):
+            if offered < len(single) and single[offered] < last:
+                offered = fall_back(last)
+            end = last + 1
+            begin = end - size
+            own, old = best[begin], best[end]
+            if own is None:
+                continue
+            if paired:
+                if old is not None:
+                    continue
+                key = own[3] << 22 | piece
+                fits = apart.get(key)
+                if not (stays(key) if fits is None else fits):
+                    continue
+            total, count = own[0] + weight, own[1] + 1
+            # of one position's arcs the longer comes first
+            if old is None or total < old[0] or (total == old[0] and count < old[1]):
+                best[end] = (total, count, begin, piece)
+        fall_back(n)
+        if best[n] is None:
+            raise ValueError("no segmentation: the pieces are not those of a merging model")
         path, at = [], n
         while at > 0:
             _, _, begin, piece = best[at]
-            path.append((begin, at, piece))
+            path.append((begin, at, piece if piece < extra else None))
             at = begin
         return best[n][0], path[::-1]
 
     def _unit_ids(self, unit: str) -> bytes:
         out: list[int] = []
-        for begin, end, piece in self.merged_path(unit) if self.bpe else self.shortest(unit)[1]:
+        for begin, end, piece in self.shortest(unit)[1]:
             if piece is not None:
                 out.append(piece)
             elif self.bytes:
@@ -297,6 +279,11 @@ class Transducer:
             out.append(ids)
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Empties the tables of units and pairs met so far, for a worker that goes on to other work."""
+        self.known.clear()
+        self.apart.clear()
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text."""
         return np.frombuffer(self.encode_packed(text), "<u4").tolist()
@@ -340,6 +327,8 @@ def with_pieces(docs: DataFrame, model: str, id_column: str = "doc_id", text: st
                 columns = [part.column("doc_id"), lists, pa.array(size)]
                 columns += [pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back], pa.string()), pa.array([a == b for a, b in zip(texts, back, strict=True)], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_tokens", "decoded_sha256", "lossless"])
+        own.forget()
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {docs.schema[id_column].dataType.simpleString()}, ids array<int>, n_tokens long, decoded_sha256 string, lossless boolean")
 
