@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache, reduce
 
@@ -20,9 +21,13 @@ def present(c: Column | str) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
+#: All characters with the Unicode property White_Space.
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column | str) -> Column:
     """Without white space at either end, Unicode blanks too."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 @lru_cache(maxsize=1)
@@ -145,15 +150,22 @@ def non_article(body: Column | str, title: Column | str, abstract: Column | str)
     return ((hits >= 2) & (F.length(col(body)) < 1800)) | ((F.length(col(body)) < 300) & (F.length(col(abstract)) < 120))
 
 
+#: Characters that end a line, one that is neither blank nor one of them, and blanks within a line.
+_BREAK = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
+_INK = rf"[^{re.escape(WHITE)}{_BREAK}]"
+_BLANKS = rf"[{re.escape(''.join(c for c in WHITE if not c.splitlines() or c.splitlines() != ['']))}]*"
+
+
 def penalty(body: Column | str, abstract: Column | str) -> Column:
     """Points for boilerplate, wrong encoding, fragments and figure placeholders."""
     merged = F.concat_ws("\n", col(abstract), col(body))
     low = F.lower(merged)
     boiler = F.when(count_markers(low, V.BOILERPLATE_MARKERS) >= 2, 2).otherwise(0)
     noise = F.when(F.regexp_count(merged, F.lit(V.MOJIBAKE)) >= 5, 1).otherwise(0)
-    lines = F.filter(F.transform(F.split(merged, "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085  ]"), strip), lambda x: x != "")
-    short = F.size(F.filter(lines, lambda x: F.length(x) <= 3))
-    fragments = F.when((F.size(lines) > 0) & (short / F.greatest(F.size(lines), F.lit(1)) > 0.08), 1).otherwise(0)
+    # a line with something on it is counted once, at its first character that is no blank
+    lines = F.regexp_count(merged, F.lit(f"{_INK}[^{_BREAK}]*"))
+    short = F.regexp_count(merged, F.lit(f"(?:^|[{_BREAK}]){_BLANKS}{_INK}(?:[^{_BREAK}]?{_INK})?{_BLANKS}(?=[{_BREAK}]|$)"))
+    fragments = F.when((lines > 0) & (short / F.greatest(lines, F.lit(1)) > 0.08), 1).otherwise(0)
     figures = F.when(low.rlike(r"(?s)\bfigure\s+\d+\b.{0,120}click here to view figure"), 1).otherwise(0)
     return boiler + noise + fragments + figures
 

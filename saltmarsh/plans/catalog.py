@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import compounds, documents, papers, scalars, streams
+from . import compounds, documents, papers, scalars, stages, streams
 
-QUERIES = {**papers.QUERIES, **documents.QUERIES, **compounds.QUERIES, **scalars.QUERIES, **streams.QUERIES}
-ORACLE_SQL = {**papers.ORACLE_SQL, **documents.ORACLE_SQL, **compounds.ORACLE_SQL, **scalars.ORACLE_SQL, **streams.ORACLE_SQL}
+QUERIES = {**papers.QUERIES, **documents.QUERIES, **compounds.QUERIES, **scalars.QUERIES, **stages.QUERIES, **streams.QUERIES}
+ORACLE_SQL = {**papers.ORACLE_SQL, **documents.ORACLE_SQL, **compounds.ORACLE_SQL, **scalars.ORACLE_SQL, **stages.ORACLE_SQL, **streams.ORACLE_SQL}

@@ -12,6 +12,7 @@ from ..functions import text as X
 from ..functions import values as V
 from ..functions.domain_values import CURATION_RULES, EXCLUSION_REASONS
 from ..operators import analysis, extraction, filtering, resolve
+from ..storage import spread
 from . import fixtures as T
 
 S = SparkSession
@@ -138,9 +139,10 @@ def x20_similar_names(spark: S, sf_dir: str) -> DataFrame:
 
 @query()
 def j17_best_title(spark: S, sf_dir: str) -> DataFrame:
-    """Best title match of each benchmark item's first words among all documents."""
-    asked = T.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 60).alias("title"))
-    return resolve.best_title(asked, T.raw_papers(spark, sf_dir).select("seq", F.substring("title", 1, 200).alias("title")))
+    """Best match of stated titles, those of every fiftieth part in another spelling, among the titles of all parts."""
+    titles = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq"), F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("title"))
+    asked = titles.filter("seq % 50 = 0").select(F.col("seq").alias("query_id"), F.concat(F.upper("title"), F.lit("  revised")).alias("title"))
+    return resolve.best_title(asked, spread(titles, "seq"))
 
 
 _FOUND = "nullif(nullif(trim({c}), ''), 'NOT FOUND')"
@@ -217,7 +219,7 @@ _NAME = "CASE l_partkey % 16 " + " ".join(f"WHEN {i} THEN {q(n)}" for i, n in en
 
 
 def _curation_mentions(spark: S, sf_dir: str) -> DataFrame:
-    t = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    t = spread(T.table(spark, sf_dir, "lineitem"), "l_orderkey").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     pick = lambda e, c: F.expr(e).alias(c)
     return t.select(pick(T._MENTION["seq"], "seq"), pick("concat('p_', CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING))", "paper_id"), pick(T._MENTION["doi"], "doi"), pick("concat('Title ', CAST(l_orderkey AS STRING))", "title"), F.expr(_NAME).alias("compound_name"), pick("CASE l_linenumber % 2 WHEN 0 THEN 'an Aminic antioxidant' ELSE 'solvent' END", "role"), pick("CASE WHEN l_quantity > 25 THEN concat('It inhibits the oxidation, ', CAST(l_quantity AS INT)) ELSE 'seen' END", "evidence"))
 

@@ -9,6 +9,7 @@ from ..functions import text as X
 from ..functions import values as V
 from ..operators import chunking, fulltext
 from ..sources import markup, payloads
+from ..storage import spread
 from . import fixtures as T
 
 S = SparkSession
@@ -137,7 +138,7 @@ _LOCATION_SQL = f"SELECT CAST(l_orderkey AS STRING) AS doi, [{', '.join(repr(x)
 
 
 def _locations(spark: S, sf_dir: str) -> DataFrame:
-    t = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    t = spread(T.table(spark, sf_dir, "lineitem"), "l_orderkey").select("l_orderkey", "l_linenumber")
     source = _LOC.format(l=f"array({', '.join(repr(x) for x in _LOCATIONS)})")
     return t.select(F.expr("CAST(l_orderkey AS STRING)").alias("doi"), F.expr(source).alias("source"), F.expr("CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE concat('https://x/', CAST(l_orderkey AS STRING), '/', CAST(l_linenumber AS STRING)) END").alias("url"), F.expr("CASE l_linenumber % 2 WHEN 0 THEN 'xml' ELSE 'pdf' END").alias("format"))
 
@@ -226,24 +227,21 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) AS INT) A
 @query(chunk_sql(2000, 200))
 def x11_chunks(spark: S, sf_dir: str) -> DataFrame:
     """Overlapping chunks of all documents."""
-    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(T.table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text")
     return chunking.chunks(docs, 2000, 200, "doc_id").drop("chunk_id")
 
 
 @query()
 def s27_pages(spark: S, sf_dir: str) -> DataFrame:
     """Title, abstract and text of raw pages."""
-    pages = T.table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"), F.encode("html", "UTF-8").alias("content"))
+    pages = spread(T.table(spark, sf_dir, "pages"), "page_id").select("page_id", F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"), F.encode("html", "UTF-8").alias("content"))
     return markup.extracted(pages, "page_id").select("page_id", "format", "title", "abstract", "full_text")
 
 
-_INDEX = "SELECT doc_id, list_transform(range(1, len(w) + 1), lambda i: {'p': i - 1, 'w': w[i]}) AS l FROM (SELECT doc_id, string_split(substr(text, 1, 300), ' ') AS w FROM documents)"
-
-
-@query("SELECT doc_id, array_to_string(string_split(substr(text, 1, 300), ' '), ' ') AS abstract FROM documents")
+@query("SELECT doc_id, array_to_string(string_split(text, ' '), ' ') AS abstract FROM documents")
 def p03_inverted_index(spark: S, sf_dir: str) -> DataFrame:
     """Texts rebuilt from their inverted indexes."""
-    docs = T.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.substring("text", 1, 300), " ")).alias("pos", "word"))
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
     words = docs.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at"))
     index = words.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("i"))
     return index.select("doc_id", payloads.inverted_text("i").alias("abstract"))

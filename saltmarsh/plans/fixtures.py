@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import SOURCES
+from ..storage import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +36,7 @@ RAW_PAPERS_SQL = "SELECT " + ", ".join(f"{v} AS {k}" for k, v in _PAPER.items())
 
 
 def raw_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     authors = "CASE WHEN doc_id % 4 = 0 THEN array() ELSE transform(sequence(0L, doc_id % 4 - 1), i -> concat('Given', CAST(i AS STRING), ' Family', CAST(doc_id % 13 AS STRING))) END"
     return docs.select(*[F.expr(v).alias(k) for k, v in _PAPER.items()], F.array("lang", "source").alias("keywords"), F.expr(authors).cast("array<string>").alias("authors"))
 
@@ -47,7 +48,7 @@ ANSWERS_SQL = f"SELECT event_id AS seq, {_ANSWER} AS answer, CASE WHEN event_id
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw answers of a scoring model."""
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.expr(_ANSWER).alias("answer"), F.expr("CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END").alias("abstract"), F.expr("concat('Paper ', CAST(event_id AS STRING))").alias("title"))
+    return spread(table(spark, sf_dir, "events"), "event_id").select(F.col("event_id").alias("seq"), F.expr(_ANSWER).alias("answer"), F.expr("CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END").alias("abstract"), F.expr("concat('Paper ', CAST(event_id AS STRING))").alias("title"))
 
 
 #: Three attempts a document: other lengths, other titles.
@@ -65,7 +66,7 @@ EXTRACTED_SQL = "SELECT " + ", ".join(f"{v} AS {k}" for k, v in _ATTEMPT.items()
 
 def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three extraction attempts per document."""
-    docs = table(spark, sf_dir, "documents").select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("a"))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("a"))
     return docs.select(*[F.expr(v).alias(k) for k, v in _ATTEMPT.items()])
 
 
@@ -76,7 +77,7 @@ COMPOUND_ANSWERS_SQL = f"SELECT CAST(l_orderkey AS STRING) AS paper_id, CAST(l_l
 
 def compound_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw answers of an extracting model, one per chunk (line item)."""
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return rows.withColumn("sm", F.expr(_SMILES)).select(F.expr("CAST(l_orderkey AS STRING)").alias("paper_id"), F.expr("CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000").alias("chunk_no"), F.expr("concat(CAST(l_orderkey AS STRING), ':chunk-', CAST(l_linenumber AS STRING))").alias("chunk_id"), F.expr(_COMPOUND_ANSWER).alias("answer"))
 
 
@@ -95,7 +96,7 @@ MENTIONS_SQL = "SELECT " + ", ".join(f"{v} AS {k}" for k, v in _MENTION.items())
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions of compounds (line items of parts)."""
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return rows.select(*[F.expr(v).alias(k) for k, v in _MENTION.items()])
 
 

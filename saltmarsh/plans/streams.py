@@ -19,7 +19,7 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def r02_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events read as a stream, upserted by user."""
-    from .work import scratch
+    from ..storage import scratch
 
     table, checkpoint = scratch(spark, "upsert"), scratch(spark, "upsert-checkpoint")
     stream = _events_stream(spark, sf_dir).select("user_id", "event_id", "event_type", "value")
