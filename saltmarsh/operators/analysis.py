@@ -129,3 +129,37 @@ def overlap(old: DataFrame, new: DataFrame, key: str = "smiles") -> DataFrame:
 def tagged_union(other: DataFrame, priority: DataFrame) -> DataFrame:
     """Both with their plot family."""
     return other.withColumn("plot_family", F.lit("other")).unionByName(priority.withColumn("plot_family", F.col("type")))
+
+
+def unique_structures(rows: DataFrame, smiles: str = "smiles", seq: str = "seq") -> DataFrame:
+    """Rows with a valid structure, the first (by `seq`) of each canonical one, with canonical_smiles and heavy_atoms."""
+    parsed = rows.select(smiles).distinct().withColumn("_p", chem.parsed(smiles)).select(smiles, F.col("_p.canonical_smiles").alias("canonical_smiles"), F.col("_p.heavy_atoms").alias("heavy_atoms"))
+    own = rows.drop("canonical_smiles", "heavy_atoms").join(parsed.filter(F.coalesce("canonical_smiles", F.lit("")) != ""), smiles)
+    rest = [c for c in own.columns if c != "canonical_smiles"]
+    return own.groupBy("canonical_smiles").agg(F.min_by(F.struct(*rest), seq).alias("_r")).select("_r.*", "canonical_smiles")
+
+
+def dataset_stats(priority: DataFrame, other: DataFrame) -> DataFrame:
+    """One row: rows of both, types of the first in order, and largest heavy-atom counts."""
+    kinds = priority.groupBy("type").agg(F.count(F.lit(1)).alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("type", "n")))).alias("priority_type_counts"))
+    most = lambda c: F.coalesce(F.max("heavy_atoms"), F.lit(0)).alias(c)
+    p = priority.agg(F.count(F.lit(1)).alias("priority_rows"), most("max_heavy_atoms_priority"))
+    o = other.agg(F.count(F.lit(1)).alias("other_rows"), most("max_heavy_atoms_other"))
+    return p.crossJoin(F.broadcast(o)).crossJoin(F.broadcast(kinds))  # one row each
+
+
+def papers_with_abstracts(papers: DataFrame, most: int = 0, seed: int = 42) -> DataFrame:
+    """Papers with an abstract and a numeric score, the score as an integer (S56); with `most`, a seeded sample of so many."""
+    score = F.col("relevance_score").cast("string").try_cast("double")
+    rows = papers.filter(F.trim(F.coalesce("abstract", F.lit(""))) != "").withColumn("relevance_score", score.cast("int")).filter("relevance_score IS NOT NULL")
+    return rows if most <= 0 else rows.orderBy(F.xxhash64(F.lit(seed), "doi", "title")).limit(most)
+
+
+def score_counts(papers: DataFrame) -> DataFrame:
+    """Papers by score."""
+    return papers.groupBy("relevance_score").agg(F.count(F.lit(1)).alias("papers")).orderBy("relevance_score")
+
+
+def without_nul(rows: DataFrame) -> DataFrame:
+    """Text columns without NUL characters, null as empty."""
+    return rows.withColumns({c: F.replace(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit("\x00"), F.lit("")) for c, t in rows.dtypes if t == "string"})

@@ -77,3 +77,28 @@ def labelled_text() -> Column:
     for k, c in (("TITLE", "title"), ("ABSTRACT", "abstract"), ("FULL_TEXT", "full_text")):
         lines += [F.lit(""), F.lit(f"### {k}"), X.clean_or_missing(c)]
     return F.concat_ws("\n", *lines, F.lit(""))
+
+
+def with_fallback_url(papers: DataFrame, hits: DataFrame, resolved: DataFrame, wanted: str = "pdf", key: str = "doi") -> DataFrame:
+    """`papers` with url, format and source of a locator's hit of a format, else of the address resolved earlier if it has that format.
+
+    hits and resolved: key, url, format, source; of several resolved addresses of a key the last (by `seq`) counts.
+    """
+    hit = hits.filter(F.col("format") == wanted).select(key, F.struct("url", "format", "source").alias("_hit"))
+    last = resolved.groupBy(key).agg(F.max_by(F.struct("url", "format", F.coalesce("source", F.lit(f"resolved_{wanted}")).alias("source")), "seq").alias("_old"))
+    last = last.filter((F.col("_old.format") == wanted) & (F.coalesce("_old.url", F.lit("")) != ""))
+    out = papers.join(hit, key, "left").join(last, key, "left").withColumn("_l", F.coalesce("_hit", "_old"))
+    return out.select(*papers.columns, *[F.col(f"_l.{c}").alias(c) for c in ("url", "format", "source")])
+
+
+def text_summary(papers: DataFrame, resolved: DataFrame, texts: DataFrame) -> DataFrame:
+    """kind, name, n: papers, addresses resolved, texts saved, then texts by label and by language."""
+    one = lambda df, name, where=None: df.agg((F.count(F.lit(1)) if where is None else F.count_if(where)).alias("n")).select(F.lit("total").alias("kind"), F.lit(name).alias("name"), "n")
+    by = lambda c: texts.groupBy(F.coalesce(c, F.lit("unknown")).alias("name")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("kind"), "name", "n")
+    totals = one(papers, "total_papers").unionByName(one(resolved, "urls_resolved", F.col("resolved"))).unionByName(one(texts, "final_txt_saved", F.coalesce("output_filepath", F.lit("")) != ""))
+    return totals.unionByName(by("label")).unionByName(by("language"))
+
+
+def first_papers(papers: DataFrame, n: int, seq: str = "seq") -> DataFrame:
+    """The first n papers by `seq` for a validation run, all with 0."""
+    return papers.orderBy(seq).limit(n) if n > 0 else papers

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions import text as X
 from ..functions.values import ABBREVIATIONS, NAME_SIMILARITY, NOT_FOUND, TITLE_SIMILARITY
+from ..storage import stored
 
 PROPERTIES = ("resolved_name", "pubchem_canonical_smiles", "pubchem_isomeric_smiles", "iupac_name")
 STRATEGIES = ("exact", "abbreviation", "synonym", "autocomplete")
@@ -156,9 +157,13 @@ def best_title(queries: DataFrame, titles: DataFrame, least: float = TITLE_SIMIL
 
 
 def numbered(rows: DataFrame, seq: str = "seq", column: str = "position") -> DataFrame:
-    """1-based positions in order of `seq` without one global sort partition: counts of ranges before each range, plus ranks within."""
-    ranged = rows.repartitionByRange(seq).withColumn("_part", F.spark_partition_id())
+    """1-based positions in order of `seq` without one global sort partition: counts of ranges before each range, plus ranks within.
+
+    The rows are stored with the number of their range, as a second plan of the ranges need not draw the same bounds.
+    """
+    ranged = stored(rows.repartitionByRange(seq).withColumn("_part", F.spark_partition_id()), "numbered")
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
     place = F.row_number().over(Window.partitionBy("_part").orderBy(seq))
+    # one row a range: bounded by the number of shuffle partitions
     return ranged.join(F.broadcast(before), "_part").withColumn(column, F.col("_before") + place).drop("_part", "_before")

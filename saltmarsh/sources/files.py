@@ -11,14 +11,21 @@ from ..operators.fulltext import labelled_text
 
 
 def read_papers(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Papers of JSON files that are a list, {papers}, {items} or one object (S10 to S12), with `seq` by place.
+    """Papers of JSON files that are a list, {papers}, {items} or one object (S10 to S12), with `seq` by file and place.
 
-    A file is one value, as JSON without lines cannot be split; for large inputs use JSON lines or Parquet.
+    `seq` is the file's number in order of names times 2^40 plus the place, so it tells papers of several files apart. A file is one value, as JSON without lines cannot be split; for large inputs use JSON lines or Parquet.
     """
     whole = spark.read.text(path, wholetext=True).withColumn("_v", F.try_parse_json("value"))
     lists = F.coalesce(*[F.try_variant_get("_v", p, "array<variant>") for p in ("$.papers", "$.items", "$")], F.array("_v"))
     rows = whole.select(F.input_file_name().alias("_f"), F.posexplode(lists).alias("_n", "v")).select("_f", "_n", F.from_json(F.to_json("v"), schema).alias("r"))
-    return rows.select(F.col("_n").cast("bigint").alias("seq"), "r.*")
+    names = sorted(spark.read.text(path, wholetext=True).inputFiles())
+    if len(names) < 2:
+        return rows.select(F.col("_n").cast("bigint").alias("seq"), "r.*")
+    numbers = spark.createDataFrame(list(enumerate(names)), "_no bigint, _name string")  # a row a file
+    # the two name the same file in forms that differ in slashes and escapes
+    key = lambda c: F.regexp_replace(F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+    rows = rows.join(numbers.select(key("_name").alias("_k"), "_no"), key("_f") == F.col("_k"))
+    return rows.select((F.col("_no") * (1 << 40) + F.col("_n")).alias("seq"), "r.*")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -66,3 +73,34 @@ def write_labelled(docs: DataFrame, path: str) -> None:
     """One labelled text a row, partitioned by label (K08, K09); the file name is a column beside it."""
     name = F.concat(F.coalesce(X.present(F.trim(F.col("year").cast("string"))), F.lit("unknown")), F.lit("_"), X.safe_file(F.replace("doi", F.lit("/"), F.lit("__")), 200), F.lit(".txt"))
     docs.select("label", name.alias("file_name"), labelled_text().alias("content")).write.mode("overwrite").partitionBy("label").parquet(path)
+
+
+def write_embedding_points(rows: DataFrame, path: str) -> None:
+    """Points of a plot as CSV."""
+    write_csv(rows.select("name", "type", "smiles", *[c for c in rows.columns if c.endswith(("_1", "_2"))]), path)
+
+
+def plot_stats(stats: DataFrame, scores: DataFrame) -> DataFrame:
+    """One row: the data set's counts with the papers by score."""
+    counted = scores.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("relevance_score").cast("string"), "papers")))).alias("paper_score_counts"))
+    return stats.crossJoin(F.broadcast(counted))  # one row by one row
+
+
+def stored_or_made(spark: SparkSession, path: str, make, refresh: bool = False) -> DataFrame:
+    """The JSON lines at `path`, made and written first where there are none or `refresh` asks for it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if refresh or not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        made = make()
+        made.write.mode("overwrite").json(path)
+        return spark.read.schema(made.schema).json(path)
+    return spark.read.json(path)
+
+
+def clear_outputs(spark: SparkSession, folder: str, names: list[str]) -> list[str]:
+    """Deletes these files or folders below an output folder; which there were."""
+    gone = []
+    for name in names:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}")
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True):
+            gone.append(name)
+    return gone

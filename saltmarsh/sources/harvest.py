@@ -3,10 +3,10 @@
 `spark.dataSource.register(HarvestSource)`, then
 `spark.read.format("harvest").option("plan", json).option("transport", "module:function").load()`.
 
-The plan is a list of {source, intent, query}; each becomes one partition, so a source's pages are
+The plan is a list of {source, intent, query}; each source becomes one partition, so its intents and pages are
 walked by one task at the source's own pace (`delay` seconds between requests). The transport takes
 (source, request) and returns decoded JSON (for PubMed: ids, then one XML text an article) or None on
-failure; nothing here opens a connection by itself. A pair that fails yields one row with the error
+failure; nothing here opens a connection by itself. An intent that fails yields one row with the error
 in `status` instead of ending the job.
 """
 
@@ -65,7 +65,7 @@ def patient(transport: Transport, source: str, request: dict, delay: float, trie
         sleep(delay)
         try:
             found = transport(source, request)
-        except OSError:
+        except Exception:  # whatever a transport raises is a failed try
             found = None
         if found is not None:
             return found
@@ -97,9 +97,11 @@ def pages(source: str, query: object, transport: Transport, key: str | None = No
             return
 
 
-class _Pair(InputPartition):
-    def __init__(self, source: str, intent: str, query: object):
-        self.source, self.intent, self.query = source, intent, query
+class _Source(InputPartition):
+    """All intents of one source: its pace holds over them, as they are asked one after another in one task."""
+
+    def __init__(self, source: str, intents: list[tuple[str, object]]):
+        self.source, self.intents = source, intents
 
 
 class HarvestReader(DataSourceReader):
@@ -108,19 +110,23 @@ class HarvestReader(DataSourceReader):
         self.transport = options["transport"]
         self.keys = json.loads(options.get("keys", "{}"))
 
-    def partitions(self) -> list[_Pair]:
-        return [_Pair(x["source"], x["intent"], x["query"]) for x in self.plan]
+    def partitions(self) -> list[_Source]:
+        by_source: dict[str, list] = {}
+        for x in self.plan:
+            by_source.setdefault(x["source"], []).append((x["intent"], x["query"]))
+        return [_Source(s, intents) for s, intents in by_source.items()]
 
-    def read(self, pair: _Pair) -> Iterator[tuple]:
+    def read(self, own: _Source) -> Iterator[tuple]:
         module, _, name = self.transport.partition(":")
         transport = getattr(importlib.import_module(module), name)
-        page = -1
-        try:
-            for page, items in enumerate(pages(pair.source, pair.query, transport, self.keys.get(pair.source))):
-                for n, item in enumerate(items):
-                    yield pair.source, pair.intent, page, n, item if isinstance(item, str) else json.dumps(item), "ok"
-        except Exception as e:  # one failed pair must not end the harvest
-            yield pair.source, pair.intent, page + 1, None, None, f"failed: {e}"
+        for intent, query in own.intents:
+            page = -1
+            try:
+                for page, items in enumerate(pages(own.source, query, transport, self.keys.get(own.source))):
+                    for n, item in enumerate(items):
+                        yield own.source, intent, page, n, item if isinstance(item, str) else json.dumps(item), "ok"
+            except Exception as e:  # one failed intent must not end the harvest
+                yield own.source, intent, page + 1, None, None, f"failed: {e}"
 
 
 class HarvestSource(DataSource):
