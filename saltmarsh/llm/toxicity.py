@@ -2,7 +2,7 @@
 
 Both dictionaries hold the words that are common in ordinary text, at the same distance from
 their ends; in front of them each holds the character runs that are over-represented in its own kind
-of text (by the likelihood ratio of document counts). A window of words that compresses
+of text (by the likelihood ratio of document counts; it grows with the documents, so what is asked of it is so much a document). A window of words that compresses
 shorter with the toxic dictionary than with the ordinary one has met toxic runs. A document's mean and largest gain
 and its number of windows above a calibrated threshold go through a logistic function fitted to the labels.
 
@@ -31,8 +31,8 @@ from .common import free_name, ship_package, text_or_empty
 from .labelled import label_counts, training_rows
 
 TOXIC_DOCS, ORDINARY_DOCS, MAX_TRAIN_BYTES = 2000, 4000, 60_000
-WINDOW, LEVEL, COMMON_WORDS = 12, 6, 3000
-RUN_LENGTHS, LEAST_GAIN, LEAST_DOCS, LEAST_LIFT, MOST_RUNS = range(5, 13), 25.0, 6, 5.0, 40
+WINDOW, LEVEL, COMMON_WORDS, COMMON_BYTES = 12, 6, 3000, 64 << 10
+RUN_LENGTHS, LEAST_GAIN, GAIN_A_DOCUMENT, LEAST_DOCS, LEAST_LIFT = range(5, 13), 25.0, 0.019, 6, 3.0
 THRESHOLD = 0.5
 
 
@@ -56,7 +56,7 @@ def _runs(text: str) -> set[str]:
     """All character runs of the lengths in `RUN_LENGTHS` within words (with the space before them)."""
     out: set[str] = set()
     for w in set(text.lower().split()):
-        w = f" {w[:200]}"
+        w = f" {w}"
         for n in RUN_LENGTHS:
             out.update(w[i : i + n] for i in range(len(w) - n + 1))
     return out
@@ -82,11 +82,12 @@ def contrast(own: list[str], other: list[str]) -> list[str]:
     for t in other:
         there.update(_runs(t) & count.keys())
     n, m = len(own), len(other)
-    ranked = sorted(((g, len(k), k) for k, v in count.items() if v / n > LEAST_LIFT * (there[k] + 0.5) / m and (g := _ratio(v, n, there[k], m)) >= LEAST_GAIN), reverse=True)
+    least = max(LEAST_GAIN, GAIN_A_DOCUMENT * (n + m))
+    ranked = sorted(((g, len(k), k) for k, v in count.items() if v / n > LEAST_LIFT * (there[k] + 0.5) / m and (g := _ratio(v, n, there[k], m)) >= least), reverse=True)
     taken: list[str] = []
     joined = ""
     for _, _, k in ranked:
-        if len(taken) < MOST_RUNS and k not in joined and not any(x.strip() in k for x in taken):
+        if k not in joined and not any(x.strip() in k for x in taken):
             taken.append(k)
             joined += "|" + k
     return taken
@@ -138,7 +139,13 @@ def train(toxic: list[str], ordinary: list[str], shares: dict[int, int]) -> Toxi
     words: Counter[str] = Counter()
     for t in ordinary:
         words.update(t.lower().split())
-    common = " ".join(w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:COMMON_WORDS][::-1] if len(w) < 100)
+    common, left = [], COMMON_BYTES
+    for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:COMMON_WORDS]:
+        left -= len(w.encode("utf-8", "surrogatepass")) + 1
+        if left < 0:  # the size of the dictionaries
+            break
+        common.append(w)
+    common = " ".join(common[::-1])
     own = ["".join(contrast(a, b)[::-1]) for a, b in ((toxic, ordinary), (ordinary, toxic))]
     made = [(x + common).encode("utf-8", "surrogatepass").rjust(8) for x in own]
     gains = Gains(*made)
