@@ -13,7 +13,8 @@ written under temporary names and renamed; the manifest (one row a file) lists t
 with the ids before each. A task that is run again writes the same bytes under the same names.
 
 A word's ids do not depend on its neighbours, as the tokenizer splits at white space; so each
-distinct word is encoded once by the library and looked up from then on (a table of bounded size).
+distinct word is encoded once by the library and looked up from then on (a table of bounded size). Files of
+other tokenizers, whose settings do not promise this, encode whole texts.
 
 Nulls: a null text counts as empty (its ids are the end id only), null document ids come first. Documents
 with equal ids are ordered by text hash; repeated rows are written as often as they come. Very long texts
@@ -22,7 +23,9 @@ are encoded whole. An empty table gives no files and an empty result.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -43,11 +46,23 @@ SEGMENT_IDS, ROLL_IDS, CACHED_WORDS, JOINED_WORDS = 1 << 20, 1 << 26, 1_000_000,
 # ASCII punctuation that the tokenizer never joins to letters before it (the apostrophe is not among it)
 PUNCTUATION = ".,;:!?*#$%&|-_()[]{}<>=+/\\\"^~`@"
 
+# Settings of a tokenizers file with which a text's ids are those of its words one after another
+WORD_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+WORD_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def splits_by_words(settings: dict) -> bool:
+    """Whether a tokenizers file has the settings that `WordIds` needs to look words up one by one."""
+    pre = settings.get("pre_tokenizer") or {}
+    plain = settings.get("normalizer") == WORD_NORMALIZER and pre.get("pretokenizers") == [WORD_SPLIT, WORD_BYTES]
+    return plain and settings["model"].get("end_of_word_suffix") == "</w>" and not any(re.search(r"\s", t["content"]) for t in settings.get("added_tokens", []))
+
 
 class WordIds:
     """A tokenizers file's ids of whole texts, as little-endian unsigned 32-bit integers.
 
-    Texts are split at ASCII white space; a batch's distinct words are looked up, and those not yet known encoded
+    With a file of other settings than `splits_by_words` knows, whole texts are encoded by the library. Else texts are split at ASCII white space; a batch's distinct words are looked up, and those not yet known encoded
     by the library. A word of letters with ASCII punctuation behind it is encoded as these two parts, which
     the tokenizer's own splitting keeps apart, the letters in lower case, as its normaliser makes them; so fewer words
     are new.
@@ -58,6 +73,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.by_word = splits_by_words(json.load(f))
         self.known: dict[str, bytes] = {"": b""}
         vocabulary = self.tokenizer.get_vocab()
         self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -106,6 +123,9 @@ class WordIds:
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin (one more than texts)."""
+        if not self.by_word:
+            found = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(pc.fill_null(texts, "").to_pylist(), add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, "<u4"), *found]), np.cumsum([0, *map(len, found)])
         parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = parts.flatten().dictionary_encode()
         ids = self.words(coded.dictionary.to_pylist())
