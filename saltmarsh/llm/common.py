@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
+import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -19,14 +21,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 #: The setting for the bytes of a batch, and the bound.
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+_SPLITS = "spark.sql.files.minPartitionNum"
 _PACKAGE = Path(__file__).resolve().parents[1]
 _LIBC = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor and the driver can reach (spark.checkpoint.dir); set here only where it is unset."""
+    """The folder every executor and the driver can reach (spark.checkpoint.dir); set here only where it is unset and all run on one machine."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='saltmarsh-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
         spark.sparkContext.setCheckpointDir(folder)
@@ -43,7 +48,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written(spark).append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saltmarsh_path = path
+    return out
+
+
+def _written(spark: SparkSession) -> list[str]:
+    """The paths of this context's stored tables that are not swept yet."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_saltmarsh_written"):
+        sc._saltmarsh_written = []
+    return sc._saltmarsh_written
+
+
+def sweep(spark: SparkSession, since: int, *kept: DataFrame) -> None:
+    """Deletes the stored tables written after the first `since`, but for those in `kept` (as `stored` gave them).
+
+    The driver's garbage is collected too: Spark deletes the shuffle files of plans that nothing refers to only then.
+    """
+    keep, written = {getattr(df, "_saltmarsh_path", None) for df in kept}, _written(spark)
+    for path in written[since:]:
+        if path not in keep:
+            remove_path(spark, path)
+    written[since:] = [path for path in written[since:] if path in keep]
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def stored_so_far(spark: SparkSession) -> int:
+    """For `sweep`: how many stored tables there are."""
+    return len(_written(spark))
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -71,10 +106,13 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once a context, so that they need no shared installation.
 
-    It also bounds the bytes of a batch that goes to a worker, unless the session has a bound of its own: rows may be
+    It also fixes the splits of file scans for the session, and bounds the bytes of a batch that goes to a worker, unless the session has a bound of its own: rows may be
     long, and each worker holds a batch beside what it makes of it.
     """
     sc = spark.sparkContext
+    if spark.conf.get(_SPLITS, None) is None:
+        # the splits of a file scan follow the registered cores unless fixed; row tags need the same ones at each reading
+        spark.conf.set(_SPLITS, str(sc.defaultParallelism))
     if int(spark.conf.get(BATCH_BYTES[0]).rstrip("bB")) > BATCH_BYTES[1]:
         spark.conf.set(BATCH_BYTES[0], str(BATCH_BYTES[1]))
     if getattr(sc, "_saltmarsh_shipped", False):
@@ -112,6 +150,10 @@ def held_out(name: str = "doc_id") -> Column:
     return F.crc32(F.col(name).cast("string").cast("binary")) % 5 == 0
 
 
+#: What operators keep in a worker between their tasks: by operator, how to let go of it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
 def give_back() -> None:
     """Returns freed memory to the system: workers are kept for later tasks, and idle ones would hold it beside the JVM."""
     pa.default_memory_pool().release_unused()
@@ -119,8 +161,13 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
-def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose `column` holds about `max_bytes` at most (one row where a single value is longer)."""
+def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20, operator: str = "") -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose `column` holds about `max_bytes` at most (one row where a single value is longer).
+
+    What other operators than `operator` keep in this worker is let go first.
+    """
+    for other in [k for k in KEPT if k != operator]:
+        KEPT.pop(other)()
     values = batch.column(batch.schema.get_field_index(column))
     sizes = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(zero_copy_only=False)
     begin = total = 0

@@ -26,8 +26,8 @@ So no bucket is capped, none is listed pair by pair, and no similar pair of a bu
 Nulls: a null text counts as empty and an empty text is like no other, each such row its own class;
 null ids are allowed (a class then is named by its smallest id that is not null, if it has one).
 Equal texts are collapsed before banding, so repeated rows and thousands of copies cost one sketch each
-and no links. Very long texts are hashed whole. An empty table gives an empty result. Row tags need an
-input that is read again in the same order (a file scan).
+and no links. Very long texts are hashed whole. An empty table gives an empty result. An input that is not a
+plain file scan is stored first, as row tags need the same order at each reading.
 """
 
 from __future__ import annotations
@@ -40,8 +40,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, if_small, ship_package, stored, text_or_empty
-from .exact import tagged, without_tags
+from .common import chunks, if_small, is_small, ship_package, stored, stored_so_far, sweep, text_or_empty
+from .exact import steady, tagged, without_tags
 from .graph import components
 from .shingles import mixed, shingle_hashes, word_hashes
 
@@ -148,11 +148,13 @@ def leader_pairs(edges: DataFrame, texts: DataFrame, key_type: str = "binary") -
     A leader with many members is dealt out over parts of about `PER_LEADER` members, each with one copy of its text.
     """
     more = [(f.name, f.dataType) for f in edges.schema if f.name not in ("u", "v")]
-    parts = edges.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / PER_LEADER).cast("int").alias("parts"))
-    members = edges.join(if_small(stored(parts, "leaders")), "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
-    members = members.join(texts, F.col("v") == F.col("text_key")).select("u", "part", "v", "body", *[c for c, _ in more])
+    parts = stored(edges.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / PER_LEADER).cast("int").alias("parts")), "leaders")
+    members = edges.join(if_small(parts), "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
+    # bare pairs are narrow: while they are few the texts are not shuffled to meet them
+    few = (lambda df: df) if more else (lambda df, small=is_small(edges): F.broadcast(df) if small else df)
+    members = texts.join(few(members), F.col("v") == F.col("text_key")).select("u", "part", "v", "body", *[c for c, _ in more])
     own = [F.lit(None).cast(t).alias(c) for c, t in more]
-    leaders = parts.join(texts, F.col("u") == F.col("text_key")).select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast(key_type).alias("v"), "body", *own)
+    leaders = texts.join(few(parts), F.col("u") == F.col("text_key")).select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast(key_type).alias("v"), "body", *own)
     return leaders.unionByName(members).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
 
 
@@ -282,7 +284,9 @@ def near_links(sketch: DataFrame, docs: DataFrame, text: str = "text", similar:
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """One row per row of `docs`: doc_id, row_tag, class_id (smallest id of its near-duplicate class), class_size (rows), n_links (verified links of its text), kept (one row a class)."""
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
+    since, docs = stored_so_far(spark), steady(docs)
     sketch = stored(sketch_table(docs, id_column, text), "near-sketch")
     links = stored(near_links(sketch, docs, text, similar), "near-links")
     labels = stored(components(links), "near-labels")
@@ -295,6 +299,7 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_tag"))
     groups = rows.groupBy("component").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     groups = stored(groups.select("component", "first", "n"), "near-groups")
+    sweep(spark, since, rows, groups)
     out = rows.join(if_small(groups), "component", "left")
     alone = F.col("n").isNull()
     return out.select("doc_id", "row_tag", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), F.coalesce("n", F.lit(1)).cast("long").alias("class_size"), "n_links", (alone | (F.col("first.row_tag") == F.col("row_tag"))).alias("kept"))
@@ -302,6 +307,9 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 
 def near_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """`docs` with one row of each near-duplicate class, its columns unchanged."""
+    docs = steady(docs)
+    since = stored_so_far(docs.sparkSession)
     dropped = stored(near_groups(docs, id_column, text, similar).filter("NOT kept").select("row_tag"), "near-dropped")
+    sweep(docs.sparkSession, since, dropped)
     return without_tags(docs, dropped)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, scratch_path, ship_package, stored, text_or_empty
-from .exact import tagged
+from .exact import steady, tagged
 from .remote import Committed, at, write_whole
 
 ROLL_BYTES, DATE = 64 << 20, "1970-01-01T00:00:00Z"
@@ -80,7 +80,7 @@ def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0, roll_bytes:
     """Writes archives of (page_id, url, html) below `folder` and its manifest; the manifest: path, records, bytes, sha256."""
     spark = pages.sparkSession
     ship_package(spark)
-    rows = tagged(pages, "row_tag").select(F.col("page_id").cast("long").alias("page_id"), "row_tag", F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), text_or_empty("html").alias("payload"))
+    rows = tagged(steady(pages), "row_tag").select(F.col("page_id").cast("long").alias("page_id"), "row_tag", F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), text_or_empty("html").alias("payload"))
     choice = stored(responses(rows, least_bytes), "warc-revisits")
     nothing = F.lit(None)
     both = choice.select("page_id", "row_tag", nothing.cast("string").alias("url"), nothing.cast("string").alias("payload"), "refers_to", "refers_tag").unionByName(rows.select("*", nothing.cast("long").alias("refers_to"), nothing.cast("long").alias("refers_tag")))
