@@ -89,7 +89,7 @@ def clean_or_missing(c: Column | str) -> Column:
 
 def abstract_in(c: Column | str) -> Column:
     """What follows the word abstract, up to a blank line, keywords or introduction."""
-    found = F.regexp_extract(F.coalesce(col(c), F.lit("")), r"(?is)\babstract\b\s*[:\-]?\s*(.{120,2500}?)(?:\n\n|\bkeywords?\b|\bintroduction\b)", 1)
+    found = F.regexp_extract(F.coalesce(col(c), F.lit("")), V.ABSTRACT_PATTERN, 1)
     return clean(found)
 
 
@@ -166,7 +166,7 @@ def penalty(body: Column | str, abstract: Column | str) -> Column:
     lines = F.regexp_count(merged, F.lit(f"{_INK}[^{_BREAK}]*"))
     short = F.regexp_count(merged, F.lit(f"(?:^|[{_BREAK}]){_BLANKS}{_INK}(?:[^{_BREAK}]?{_INK})?{_BLANKS}(?=[{_BREAK}]|$)"))
     fragments = F.when((lines > 0) & (short / F.greatest(lines, F.lit(1)) > 0.08), 1).otherwise(0)
-    figures = F.when(low.rlike(r"(?s)\bfigure\s+\d+\b.{0,120}click here to view figure"), 1).otherwise(0)
+    figures = F.when(low.rlike(V.FIGURE_PATTERN), 1).otherwise(0)
     return boiler + noise + fragments + figures
 
 

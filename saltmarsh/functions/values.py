@@ -28,6 +28,10 @@ LOCATOR_PRIORITY = ["pmc_xml", "epmc_xml", "unpaywall", "semantic_scholar", "cor
 ROLE_PATTERN = r"\baminic\b|\bamine(?:[- ]type)? antioxidant|\baromatic amine|\barylamine|\bdiarylamine"
 EVIDENCE_PATTERN = r"antioxid|oxidation inhib|inhibit(?:s|ed|ing)? (?:the )?oxid|oxidation stabil|radical[- ]trapp|scaveng|peroxyl|induction period|chain break|rate constant|\bRTA\b"
 DEFAULT_EXCLUSION = "not supported as a conventional aminic antioxidant by name/structure in this automated audit"
+# An abstract within a text, a compounds object within an answer, a figure's placeholder
+ABSTRACT_PATTERN = r"(?is)\babstract\b\s*[:\-]?\s*(.{120,2500}?)(?:\n\n|\bkeywords?\b|\bintroduction\b)"
+COMPOUNDS_PATTERN = r'(?s)(\{[^{}]*"compounds"\s*:\s*\[.*?\]\s*\})'
+FIGURE_PATTERN = r"(?s)\bfigure\s+\d+\b.{0,120}click here to view figure"
 
 NOT_FOUND, MISSING = "NOT FOUND", "N/A"
 COMPLETE_CHARS, PARTIAL_CHARS, ABSTRACT_CHARS = 4000, 1200, 120

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.values import EXCLUDED_COMPOUNDS, NOT_FOUND
+from ..functions.values import COMPOUNDS_PATTERN, EXCLUDED_COMPOUNDS, NOT_FOUND
 
 FIELDS = ("smiles", "formula", "structural_info", "role")
 
@@ -14,7 +14,7 @@ FIELDS = ("smiles", "formula", "structural_info", "role")
 def parsed_items(answer: str = "answer") -> Column:
     """Array of variants: the objects of {compounds}, {items} or a bare list, or of a compounds object within other text."""
     whole = F.try_parse_json(F.col(answer))
-    rescue = F.try_parse_json(F.nullif(F.regexp_extract(F.coalesce(F.col(answer), F.lit("")), r'(?s)(\{[^{}]*"compounds"\s*:\s*\[.*?\]\s*\})', 1), F.lit("")))
+    rescue = F.try_parse_json(F.nullif(F.regexp_extract(F.coalesce(F.col(answer), F.lit("")), COMPOUNDS_PATTERN, 1), F.lit("")))
     tried = F.coalesce(whole, rescue)
     lists = [F.try_variant_get(tried, path, "array<variant>") for path in ("$.compounds", "$.items", "$")]
     items = F.coalesce(*lists, F.array().cast("array<variant>"))

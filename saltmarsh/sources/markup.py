@@ -15,9 +15,11 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..functions.values import ABSTRACT_PATTERN
+
 DROPPED = {"script", "style", "nav", "footer", "header", "noscript"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-_ABSTRACT = re.compile(r"(?is)\babstract\b\s*[:\-]?\s*(.{120,2500}?)(?:\n\n|\bkeywords?\b|\bintroduction\b)")
+_ABSTRACT = re.compile(ABSTRACT_PATTERN)
 
 
 def clean(text: str | None) -> str:
