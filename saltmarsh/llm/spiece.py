@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, give_back, ship_package, text_or_empty
+from .common import KEPT, chunks, ship_package, text_or_empty
 
 BLANK = "▁"
 CACHED_UNITS, LONGEST_CACHED, CACHED_PAIRS = 400_000, 48, 400_000
@@ -279,11 +279,6 @@ class Transducer:
             out.append(ids)
         return b"".join(out)
 
-    def forget(self) -> None:
-        """Empties the tables of units and pairs met so far, for a worker that goes on to other work."""
-        self.known.clear()
-        self.apart.clear()
-
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text."""
         return np.frombuffer(self.encode_packed(text), "<u4").tolist()
@@ -317,8 +312,9 @@ def with_pieces(docs: DataFrame, model: str, id_column: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _compiled(model)
+        KEPT["spiece"] = _compiled.cache_clear
         for batch in batches:
-            for part in chunks(batch, "body"):
+            for part in chunks(batch, "body", operator="spiece"):
                 texts = part.column("body").to_pylist()
                 packed = [own.encode_packed(t) for t in texts]
                 back = [own.decode(memoryview(x).cast("I")) for x in packed]
@@ -327,8 +323,6 @@ def with_pieces(docs: DataFrame, model: str, id_column: str = "doc_id", text: st
                 columns = [part.column("doc_id"), lists, pa.array(size)]
                 columns += [pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back], pa.string()), pa.array([a == b for a, b in zip(texts, back, strict=True)], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_tokens", "decoded_sha256", "lossless"])
-        own.forget()
-        give_back()
 
     return rows.mapInArrow(run, f"doc_id {docs.schema[id_column].dataType.simpleString()}, ids array<int>, n_tokens long, decoded_sha256 string, lossless boolean")
 
