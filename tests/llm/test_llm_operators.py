@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import itertools
+import json
 import random
 import struct
 import zlib
@@ -340,6 +341,50 @@ def test_passage_variants(spark, tmp_path):
     assert {d for d, b, e in spans if min(e, 140) - max(b, 40) >= 50} == alike
 
 
+def windows_alike(texts, least=46):
+    """By brute force: for each text the places of least passages that are similar to one of another text."""
+    tokens = []
+    for t in texts:
+        h, _ = shingles.shingle_hashes(*shingles.word_hashes(pa.array([" ".join(t)])))
+        tokens.append(h)
+    out = defaultdict(set)
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        places = [np.flatnonzero(np.isin(x, y)) for x, y in ((tokens[a], tokens[b]), (tokens[b], tokens[a]))]
+        if min(map(len, places)) < 0.8 * least:
+            continue
+        for p in range(0, len(tokens[a]) - least + 1, 4):
+            own = np.unique(tokens[a][p : p + least])
+            for q in range(0, len(tokens[b]) - least + 1, 4):
+                if shingles.jaccard(own, np.unique(tokens[b][q : q + least])) >= 0.8:
+                    out[a].add(p)
+                    out[b].add(q)
+    return out
+
+
+def test_passages_recall(spark, tmp_path):
+    """Variants of long and short passages among other words, and a line below the least length in every text: nine tenths of what brute force finds lies in spans."""
+    rng, texts = random.Random(12), []
+    line = make_words(rng, 30)
+    for size, copies, edits in ((70, 40, 3), (120, 40, 8), (52, 20, 1)):
+        base = make_words(rng, size)
+        for _ in range(copies):
+            w = list(base)
+            for k in rng.sample(range(size), rng.randrange(edits + 1)):
+                w[k] = f"new{rng.randrange(10**6)}"
+            texts.append(make_words(rng, 20) + w + make_words(rng, 20) + line + make_words(rng, 15))
+    rng.shuffle(texts)
+    spark.createDataFrame([(i, " ".join(t), None, None, None) for i, t in enumerate(texts)], DOCS).repartition(3).write.parquet(str(tmp_path / "d"))
+    spans = defaultdict(list)
+    for r in passages.passage_links(spark.read.parquet(str(tmp_path / "d"))).collect():
+        spans[r.doc_id].append((r.start_word, r.end_word))
+        spans[r.other_id].append((r.other_start, r.other_end))
+    want = windows_alike(texts)
+    places = [(i, p + 23) for i, found in want.items() for p in found]
+    hit = sum(any(x <= m < y for x, y in spans[i]) for i, m in places)
+    assert len(want) > 80 and hit >= 0.9 * len(places)
+    assert sum(i in spans for i in want) >= 0.98 * len(want)
+
+
 @pytest.mark.parametrize("block, size", [(25, 60), (40, 80), (60, 60)])
 def test_spans_beside_another_shared_block(block, size):
     """A passage with an edit next to a block that is shared too but lies elsewhere in the other text."""
@@ -399,6 +444,25 @@ def test_words_are_the_librarys():
     ids, cuts = w.of(pa.array(texts))
     for i, e in enumerate(w.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)):
         assert ids[cuts[i] : cuts[i + 1]].tolist() == e.ids
+    assert w.by_word
+
+
+@pytest.mark.parametrize("change", ["normalizer", "pre_tokenizer"])
+def test_other_tokenizers_encode_whole_texts(tmp_path, change):
+    P = pytest.importorskip("public_tokenizers")
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        settings = json.load(f)
+    if change == "normalizer":
+        settings["normalizer"] = {"type": "NFC"}
+    else:
+        settings["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": "[^,]+"}
+    (tmp_path / "other.json").write_text(json.dumps(settings), encoding="utf-8")
+    texts = ["It's a TEST, of two words", "", None, "a  b\tc"]
+    w = tokenfile.WordIds(str(tmp_path / "other.json"))
+    ids, cuts = w.of(pa.array(texts))
+    assert not w.by_word
+    for i, e in enumerate(w.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)):
+        assert ids[cuts[i] : cuts[i + 1]].tolist() == e.ids
 
 
 # --- 5 WARC
