@@ -402,6 +402,28 @@ def test_spans_beside_another_shared_block(block, size):
             assert all(j >= 0.8 and shingles.jaccard(np.unique(u[a:b]), np.unique(v[c:d])) == pytest.approx(j) for a, b, c, d, j in spans)
 
 
+def test_spans_against_all_windows():
+    """Edits all along a passage: each window that is similar to one of the other text has its middle in a span of this pair."""
+    rng, n_windows = random.Random(21), 0
+    for size, edits, pairs in ((70, 1, 25), (100, 2, 25), (200, 5, 10)):
+        base = make_words(rng, size)
+        for _ in range(pairs):
+            texts = []
+            for _ in range(2):
+                w = list(base)
+                for k in rng.sample(range(size), edits):
+                    w[k] = f"new{rng.randrange(10**6)}"
+                texts.append(make_words(rng, 15) + w + make_words(rng, 15))
+            tokens, starts = shingles.shingle_hashes(*shingles.word_hashes(pa.array([" ".join(t) for t in texts])))
+            u, v = tokens[: starts[1]], tokens[starts[1] :]
+            got = passages.shared_spans(u, v)
+            assert all(j >= 0.8 and shingles.jaccard(np.unique(u[a:b]), np.unique(v[c:d])) == pytest.approx(j) for a, b, c, d, j in got)
+            for side, found in windows_alike(texts).items():
+                n_windows += len(found)
+                assert all(any(s[2 * side] <= p + 23 < s[2 * side + 1] for s in got) for p in found)
+    assert n_windows > 300
+
+
 def test_passages_of_nothing(no_docs):
     assert passages.passage_links(no_docs).count() == 0
 
