@@ -424,6 +424,41 @@ def test_spans_against_all_windows():
     assert n_windows > 300
 
 
+def test_passage_classes_against_all_pairs(spark, tmp_path):
+    """Variants of variants, and a common core with ends of its own, in texts that share a line: each pair with a span of its own is joined by links."""
+    rng, texts = random.Random(5), []
+    line, core = make_words(rng, 30), make_words(rng, 38)
+
+    def add(words, edits):
+        w = list(words)
+        for k in rng.sample(range(len(w)), edits):
+            w[k] = f"new{rng.randrange(10**6)}"
+        texts.append(make_words(rng, rng.randrange(10, 40)) + w + make_words(rng, rng.randrange(10, 40)) + line + make_words(rng, 15))
+        return w
+
+    for size, edits in ((60, 3), (52, 3), (90, 5)):
+        base = make_words(rng, size)
+        for _ in range(10):
+            one = add(base, edits)
+            for _ in range(4):
+                add(one, rng.randrange(2))
+    for _ in range(20):
+        end = make_words(rng, 14)
+        for _ in range(3):
+            add(core + end, rng.randrange(2))
+    for _ in range(40):
+        add(base[:51], 1)
+    rng.shuffle(texts)
+    tokens, starts = shingles.shingle_hashes(*shingles.word_hashes(pa.array([" ".join(t) for t in texts])))
+    want = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if passages.shared_spans(tokens[starts[a] : starts[a + 1]], tokens[starts[b] : starts[b + 1]])]
+    spark.createDataFrame([(i, " ".join(t), None, None, None) for i, t in enumerate(texts)], DOCS).repartition(3).write.parquet(str(tmp_path / "d"))
+    label = list(range(len(texts)))
+    for r in passages.passage_links(spark.read.parquet(str(tmp_path / "d"))).collect():
+        a, b = label[r.doc_id], label[r.other_id]
+        label = [a if x == b else x for x in label]
+    assert len(want) > 200 and all(label[a] == label[b] for a, b in want)
+
+
 def test_passages_of_nothing(no_docs):
     assert passages.passage_links(no_docs).count() == 0
 
