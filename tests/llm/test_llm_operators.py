@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import exact, media, mixing, near, passages, quality, shingles, simple8b, spiece, tokenfile, toxicity, warc
+from saltmarsh.llm import exact, graph, media, mixing, near, passages, quality, shingles, simple8b, spiece, tokenfile, toxicity, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -459,6 +459,30 @@ def test_passage_classes_against_all_pairs(spark, tmp_path):
     assert len(want) > 200 and all(label[a] == label[b] for a, b in want)
 
 
+def test_passage_places_in_long_chains(spark):
+    """Places that a chain of 300 spans joins have one label, as those of two shorter ones have theirs; in parts they would meet again."""
+    ids = list(range(300))
+    random.Random(4).shuffle(ids)
+    chains = [ids, [400, 401, 402], [500, 501]]
+    rows = [(a, b, 0, 60, 5, 65, 1.0) if a % 2 else (a, b, 0, 60, 0, 60, 1.0) for c in chains for a, b in itertools.pairwise(c)]
+    spans = spark.createDataFrame(rows, "u long, v long, u_start long, u_end long, v_start long, v_end long, similarity double")
+    labels = defaultdict(set)
+    for r in passages.passage_classes(spans).collect():
+        labels[r.row_tag].add(r.label)
+    found = [{x for i in c for x in labels[i]} for c in chains]
+    assert len(labels) == 305 and list(map(len, found)) == [1, 1, 1] and len(set.union(*found)) == 3
+
+
+def test_components_in_a_task(spark):
+    """One task's labels are those of the joins, on both sides of the bound."""
+    rng = random.Random(8)
+    edges = graph.stored(spark.createDataFrame([(rng.randrange(300), rng.randrange(300)) for _ in range(200)], "u long, v long"), "edges")
+    want = {(r.node, r.label) for r in graph.components(edges).collect()}
+    for most in (10, 1000):
+        assert {(r.node, r.label) for r in graph.components_in_a_task(edges, most=most).collect()} == want
+    assert graph.components_in_a_task(graph.stored(edges.filter("u < 0"), "edges")).isEmpty()
+
+
 def test_passages_of_nothing(no_docs):
     assert passages.passage_links(no_docs).count() == 0
 
