@@ -42,7 +42,7 @@ from .remote import Committed, at
 from .simple8b import pack, unpack
 
 MAGIC = b"SM8B0001"
-SEGMENT_IDS, ROLL_IDS, CACHED_WORDS, JOINED_WORDS = 1 << 20, 1 << 26, 1_000_000, 2000
+SEGMENT_IDS, ROLL_IDS, CACHED_WORDS, JOINED_WORDS, CHUNK_BYTES = 1 << 20, 1 << 26, 600_000, 2000, 2 << 20
 # ASCII punctuation that the tokenizer never joins to letters before it (the apostrophe is not among it)
 PUNCTUATION = ".,;:!?*#$%&|-_()[]{}<>=+/\\\"^~`@"
 
@@ -59,13 +59,20 @@ def splits_by_words(settings: dict) -> bool:
     return plain and settings["model"].get("end_of_word_suffix") == "</w>" and not any(re.search(r"\s", t["content"]) for t in settings.get("added_tokens", []))
 
 
+def joined(flat: np.ndarray, size: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The pieces of `flat` (of these sizes, one after another) that are chosen, in their order."""
+    begin, n = (np.cumsum(size) - size)[chosen], size[chosen]
+    ends = np.cumsum(n)
+    return flat[np.repeat(begin - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class WordIds:
     """A tokenizers file's ids of whole texts, as little-endian unsigned 32-bit integers.
 
     With a file of other settings than `splits_by_words` knows, whole texts are encoded by the library. Else texts are split at ASCII white space; a batch's distinct words are looked up, and those not yet known encoded
-    by the library. A word of letters with ASCII punctuation behind it is encoded as these two parts, which
+    by the library. A word of letters with ASCII punctuation behind it is looked up and encoded as these two parts, which
     the tokenizer's own splitting keeps apart, the letters in lower case, as its normaliser makes them; so fewer words
-    are new.
+    are new, and only the parts are kept.
     """
 
     def __init__(self, path: str):
@@ -83,10 +90,10 @@ class WordIds:
     def _learn(self, words: list[str]) -> None:
         """Ids of new words. Words of letters are joined by blanks into long texts, whose ids are cut after the tokens that end a word."""
         plain = [w for w in words if w.isalpha() and "İ" not in w]
+        rest = [w for w in words if not w.isalpha() or "İ" in w]
         texts = [plain[i : i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
-        rest = [w for w in words if not (w.isalpha() and "İ" not in w)]
-        for part, e in zip(texts, self.tokenizer.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
+        for part in texts:  # one by one: what the library makes of a text is many times its size
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ending[ids]) + 1
             if len(ends) != len(part):
                 rest += part
@@ -105,22 +112,45 @@ class WordIds:
         found = list(map(known.get, words))
         missing = [w for w, x in zip(words, found, strict=True) if x is None]
         if missing:
-            parts, new = [], set()
-            for w in missing:
-                c = w.rstrip(PUNCTUATION)
-                low = c.lower()
-                if c.isalpha() and low != w and "İ" not in c and "Σ" not in c:  # these two are not lowered letter by letter
-                    parts.append((w, low, w[len(c) :]))
-                    new.add(low)
-                    new.add(w[len(c) :])
-                else:
-                    new.add(w)
-            self._learn([x for x in new if x not in known])
-            for w, c, t in parts:
-                known[w] = known[c] + known[t]
+            cased = [(w, low) for w, low in zip(missing, map(str.lower, missing), strict=True) if low != w and w.isalpha() and "İ" not in w and "Σ" not in w]  # these two are not lowered letter by letter
+            new = dict.fromkeys(missing)
+            for w, low in cased:
+                del new[w]
+            new.update(dict.fromkeys(low for _, low in cased))
+            self._learn([w for w in new if w not in known])
+            for w, low in cased:
+                known[w] = known[low]
             found = list(map(known.__getitem__, words))
         return found
 
+    def parts(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some distinct words, and how many each has. Punctuation behind letters is looked up by itself, so that words differ less."""
+        trimmed = pc.utf8_rtrim(words, characters=PUNCTUATION).dictionary_encode()
+        letters = trimmed.dictionary.to_numpy(zero_copy_only=False).tolist()
+        apart = np.fromiter(map(str.isalpha, letters), bool, len(letters))
+        for odd in "İΣ":
+            apart &= ~pc.match_substring(trimmed.dictionary, odd).to_numpy(zero_copy_only=False)
+        code = trimmed.indices.to_numpy(zero_copy_only=False)
+        ends = pc.subtract(pc.binary_length(words), pc.binary_length(trimmed.dictionary).take(trimmed.indices)).to_numpy(zero_copy_only=False)
+        ends = np.where(apart[code], ends, 0)
+        behind = np.flatnonzero(ends)
+        behind_text = [w[-n:] for w, n in zip(words.take(pa.array(behind)).to_numpy(zero_copy_only=False).tolist(), ends[behind].tolist(), strict=True)]
+        number = {x: i for i, x in enumerate(dict.fromkeys(behind_text))}
+        other = np.flatnonzero(~apart[code])
+        alone = np.flatnonzero(apart)
+        # first and second part of each word, as places among the parts
+        all_parts = ["", *number, *[letters[i] for i in alone.tolist()], *words.take(pa.array(other)).to_numpy(zero_copy_only=False).tolist()]
+        place = np.zeros(len(letters), np.int64)
+        place[alone] = 1 + len(number) + np.arange(len(alone))
+        both = np.zeros((len(words), 2), np.int64)
+        both[:, 0] = place[code]
+        both[other, 0] = len(all_parts) - len(other) + np.arange(len(other))
+        both[behind, 1] = 1 + np.fromiter(map(number.__getitem__, behind_text), np.int64, len(behind))
+        ids = self.words(all_parts)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        return joined(flat, size, both.reshape(-1)), size[both].sum(axis=1)
+
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin (one more than texts)."""
         if not self.by_word:
@@ -128,14 +158,9 @@ class WordIds:
             return np.concatenate([np.zeros(0, "<u4"), *found]), np.cumsum([0, *map(len, found)])
         parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = parts.flatten().dictionary_encode()
-        ids = self.words(coded.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-        begin = np.cumsum(size) - size
+        flat, size = self.parts(coded.dictionary)
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        n = size[codes]
-        ends = np.cumsum(n)
-        out = flat[np.repeat(begin[codes] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        out, ends = joined(flat, size, codes), np.cumsum(size[codes])
         cuts = np.concatenate(([0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))))
         return out, np.concatenate(([0], ends))[cuts]
 
@@ -194,7 +219,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             held = 0
 
         for batch in batches:
-            for piece in chunks(batch, "body"):
+            for piece in chunks(batch, "body", CHUNK_BYTES):
                 all_ids, cuts = encoder.of(piece.column("body"))
                 for d, a, b in zip(piece.column("doc_id").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                     if out is None:

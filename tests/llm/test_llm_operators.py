@@ -528,6 +528,21 @@ def test_words_are_the_librarys():
     assert w.by_word
 
 
+def test_words_with_punctuation_behind_are_looked_up_in_parts():
+    """Any letters before any punctuation give the library's ids, and only the letters and the punctuation by themselves are kept."""
+    P = pytest.importorskip("public_tokenizers")
+    rng, w = random.Random(6), tokenfile.WordIds(P.path("word_bpe_49k.json"))
+    stems = ["word", "Word", "WORD", "été", "ÉTÉ", "straße", "don't", "a1", "İx", "ΟΔΟΣ", "e\u0301", "ﬁn", "ª", "日本", "", "x.y", "\u01c5"]
+    ends = ["", ",", ".", "!!", "'", "')", "&&&", '."', "…", "\u0301", "._"]
+    words = [a + b for a in stems for b in ends]
+    for _ in range(3):
+        texts = [" ".join(rng.choices(words, k=40)) for _ in range(60)]
+        ids, cuts = w.of(pa.array(texts))
+        for i, e in enumerate(w.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            assert ids[cuts[i] : cuts[i + 1]].tolist() == e.ids
+    assert {"word", "été", ",", "&&&"} <= set(w.known) and not {"word,", "été&&&", "WORD.", "straße!!"} & set(w.known)
+
+
 @pytest.mark.parametrize("change", ["normalizer", "pre_tokenizer"])
 def test_other_tokenizers_encode_whole_texts(tmp_path, change):
     P = pytest.importorskip("public_tokenizers")
