@@ -16,8 +16,8 @@ zero) for pairs that would merge across their boundary; one path of finite weigh
 prefix too, so one state a position is enough. Ids are then those of the library.
 
 Unigram paths of equal cost are settled by fewer pieces, then the longer last piece. As no piece has a blank mark
-after another character, every path passes the positions before blank marks; the text is cut there
-and a unit's path is looked up once found.
+after another character, every path passes the positions before blank marks; the text is cut there, and
+before punctuation behind a letter or digit where no piece holds these two side by side, and a unit's path is looked up once found.
 
 Nulls: a null text counts as empty and has no ids. Characters outside the vocabulary come as byte pieces,
 or the unknown id where the model has none. Long texts are encoded whole, unit by unit. A text's own blank
@@ -26,8 +26,11 @@ marks (U+2581) decode as blanks, as in the library. Repeated rows give equal ids
 
 from __future__ import annotations
 
+import itertools
 import re
+import string
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -41,6 +44,8 @@ from pyspark.sql import functions as F
 from .common import KEPT, chunks, ship_package, text_or_empty
 
 BLANK = "▁"
+#: ASCII marks.
+MARKS = string.punctuation
 CACHED_UNITS, LONGEST_CACHED, CACHED_PAIRS = 400_000, 48, 400_000
 # Fixed values of the format: kinds of pieces
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -127,9 +132,14 @@ class Transducer:
         self.fallback = max((p.cost for _, p in lexicon if p.cost < HIDDEN_COST), default=0.0) + FALLBACK_EXTRA
         inner = any(re.search(f"[^{BLANK}]{BLANK}", p.text) for _, p in lexicon)
         alone = "".join(c for c in "\t\n\r" if not any(c in p.text for _, p in lexicon))
-        self.unit = None if inner else re.compile(f"[{alone}]|{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" if alone else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+        # no piece has a mark right after a letter or digit that is not among these: all paths pass the positions between the two
+        held = "".join(sorted({a for _, p in lexicon for a, b in itertools.pairwise(p.text) if a.isalnum() and b in MARKS}))
+        mark, other = f"[{re.escape(MARKS)}]", f"[^{re.escape(MARKS)}{BLANK}{alone}]"
+        after = f"{BLANK}*+{mark}*+{other}++(?:(?<![^\\W_{held}]){mark}++{other}*+)*+|{BLANK}*+{mark}++"
+        self.unit = None if inner else re.compile(f"[{alone}]|{after}|{BLANK}+" if alone else f"{after}|{BLANK}+")
         self.rewrite = re.compile("|".join(map(re.escape, sorted(self.rules, key=len, reverse=True)))) if self.rules else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.covered = {t for t in self.costs if len(t) == 1}
         self.bpe = bpe
         blank = lambda t: t.replace(BLANK, " ") if escape else t
         self.raw = [bytes([int(p.text[1:-1], 16)]) if p.kind == BYTE else b"" if p.kind == CONTROL else " ⁇ ".encode() if p.kind == UNKNOWN else blank(p.text).encode("utf-8", "surrogatepass") for p in pieces]
@@ -244,7 +254,37 @@ class Transducer:
             at = begin
         return best[n][0], path[::-1]
 
+    def only_path(self, text: str) -> list[int] | None:
+        """The pieces of `shortest`'s path with the acceptor: the same relaxation over weights zero and infinity, costs left out, as one path is all there is.
+
+        None where a character has no piece of its own, or no path is found: `shortest` has the fallback's arcs.
+        """
+        apart, stays, n = self.apart, self.stays, len(text)
+        last: list = [None] * (n + 1)  # the piece before, as the upper part of a pair's key
+        back = [0] * (n + 1)
+        last[0] = NOTHING << 22
+        for end, (size, _, piece) in self.lexicon.iter(text):
+            end += 1
+            if last[end] is None:
+                own = last[end - size]
+                if own is not None:
+                    key = own | piece
+                    fits = apart.get(key)
+                    if stays(key) if fits is None else fits:
+                        last[end], back[end] = piece << 22, end - size
+        if last[n] is None or not self.covered.issuperset(text):
+            return None
+        out, at = [], n
+        while at > 0:
+            out.append(last[at] >> 22)
+            at = back[at]
+        out.reverse()
+        return out
+
     def _unit_ids(self, unit: str) -> bytes:
+        only = self.only_path(unit) if self.bpe else None
+        if only is not None:
+            return array("I", only).tobytes()
         out: list[int] = []
         for begin, end, piece in self.shortest(unit)[1]:
             if piece is not None:
@@ -263,20 +303,16 @@ class Transducer:
         if self.unit is None:
             return self._unit_ids(whole)
         units, known = self.unit.findall(whole), self.known
-        try:
-            return b"".join(map(known.__getitem__, units))
-        except KeyError:
-            pass
-        if len(known) >= CACHED_UNITS:
-            known.clear()
-        out: list[bytes] = []
-        for u in units:
-            ids = known.get(u)
-            if ids is None:
-                ids = self._unit_ids(u)
-                if len(u) <= LONGEST_CACHED:
-                    known[u] = ids
-            out.append(ids)
+        out = list(map(known.get, units))
+        if None in out:
+            if len(known) >= CACHED_UNITS:
+                known.clear()
+            for i, ids in enumerate(out):
+                if ids is None:
+                    u = units[i]
+                    ids = out[i] = known.get(u) or self._unit_ids(u)
+                    if len(u) <= LONGEST_CACHED:
+                        known[u] = ids
         return b"".join(out)
 
     def encode(self, text: str | None) -> list[int]:

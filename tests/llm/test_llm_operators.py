@@ -662,6 +662,32 @@ def test_pieces(docs, no_docs):
     assert spiece.with_pieces(no_docs, path).count() == 0
 
 
+def test_units_end_before_marks():
+    """Marks behind letters are units of their own where no piece joins the two, and the ids stay the library's."""
+    P = pytest.importorskip("public_tokenizers")
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = P.path("piece_bpe_32k.model")
+    own, library, rng = spiece.compile_model(path), sentencepiece.SentencePieceProcessor(model_file=path), random.Random(3)
+    assert own.unit.findall("▁word,&&&▁(x.y)▁▁a\t▁é!▁..²._") == ["▁word", ",&&&", "▁(x", ".y", ")", "▁▁a", "\t", "▁é", "!", "▁..²._"]
+    parts = ["a", "é", "1", ".", ",", "&&", "(", "…", "—", " ", "  ", "'s", "_", "²", ".com", "e.g.", "\t", '="', '">', "(x)", "日本", "\U0001f600", "---", "tion", "the"]
+    for _ in range(2000):
+        text = "".join(rng.choices(parts, k=rng.randrange(1, 25)))
+        assert "".join(own.unit.findall(own.normalise(text))) == own.normalise(text)
+        assert own.encode(text) == library.encode(text)
+    joins = spiece.Transducer([spiece.Piece(t, i, 1) for i, t in enumerate(("a.", "a", ".", "b"))])
+    assert joins.unit.findall("a..b.a.") == ["a..b", ".a."]
+
+
+def test_only_path_is_the_shortest():
+    """With the acceptor the path found without costs is that of `shortest`; characters without a piece leave it to that."""
+    P = pytest.importorskip("public_tokenizers")
+    own, rng = spiece.compile_model(P.path("piece_bpe_32k.model")), random.Random(4)
+    for _ in range(500):
+        text = "▁" + "".join(rng.choices("etaoinshrdluäéß,.-", k=rng.randrange(1, 30)))
+        assert own.only_path(text) == [piece for _, _, piece in own.shortest(text)[1]]
+    assert own.only_path("▁a\U0001f9ff") is None
+
+
 # --- 4 and 9 classifiers
 
 
