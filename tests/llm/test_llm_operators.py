@@ -459,6 +459,35 @@ def test_passage_classes_against_all_pairs(spark, tmp_path):
     assert len(want) > 200 and all(label[a] == label[b] for a, b in want)
 
 
+def test_windows_beside_a_common_line(spark, tmp_path):
+    """Windows of texts that share a line only are left out before pairs are met; those of a passage with an edit in it stay."""
+    rng = random.Random(9)
+    line, passage = make_words(rng, 26), make_words(rng, 60)
+    texts = [make_words(rng, 40) + line + make_words(rng, 40) for _ in range(30)]
+    for i in (30, 31):
+        texts.append(make_words(rng, 20) + passage[:30] + [f"edit{i}"] + passage[31:] + make_words(rng, 20))
+    bodies = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "text_key long, body string")
+    every = passages.window_table(bodies.withColumnRenamed("text_key", "row_tag"))
+    several = every.groupBy("key").agg(F.count_if("once").cast("int").alias("n")).filter("n > 1")
+    kept = graph.stored(passages.kept_windows(every.join(several, "key")), "kept")
+    assert len({r.row_tag for r in kept.collect()}) > 10
+    assert {r.row_tag for r in passages.supported(kept, bodies).collect()} == {30, 31}
+
+
+def test_row_minima():
+    """Each row of tokens of one text has its least one among those given, and lies in what that one covers."""
+    rng = np.random.default_rng(6)
+    for sizes in ((40, 3, 0, 5, 30), (2, 2, 2), (0,), (100,)):
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        tokens = rng.integers(0, 20, starts[-1]).astype(np.uint64)
+        place, begin, end = passages.row_minima(tokens, starts)
+        values = shingles.mixed(tokens, 99)
+        for a, b in itertools.pairwise(starts.tolist()):
+            for i in range(a, b - passages.ROW + 1):
+                hit = [p for p, x, y in zip(place.tolist(), begin.tolist(), end.tolist(), strict=True) if x <= i and i + passages.ROW <= y]
+                assert hit and any(values[p] == values[i : i + passages.ROW].min() for p in hit)
+
+
 def test_passage_places_in_long_chains(spark):
     """Places that a chain of 300 spans joins have one label, as those of two shorter ones have theirs; in parts they would meet again."""
     ids = list(range(300))
