@@ -12,6 +12,8 @@ NON_ARTICLE_MARKERS = ["cookie", "captcha", "sign in", "log in", "access through
 BOILERPLATE_MARKERS = ["click here to view figure", "article metrics", "cite this article", "journal impact factor", "journal is indexed in", "copy the following to cite", "share"]
 # UTF-8 read as Latin text
 MOJIBAKE = "(â€|â€“|â€™|Â°|Â)"
+# what each of its matches begins with
+MOJIBAKE_STARTS = ["â€", "Â"]
 # Signs of an error body
 ERROR_MARKERS = ["access denied", "captcha", "enable javascript", "page not found", "error", "temporarily unavailable", "forbidden"]
 # Rank of labels
@@ -31,6 +33,7 @@ DEFAULT_EXCLUSION = "not supported as a conventional aminic antioxidant by name/
 # An abstract within a text, a compounds object within an answer, a figure's placeholder
 ABSTRACT_PATTERN = r"(?is)\babstract\b\s*[:\-]?\s*(.{120,2500}?)(?:\n\n|\bkeywords?\b|\bintroduction\b)"
 COMPOUNDS_PATTERN = r'(?s)(\{[^{}]*"compounds"\s*:\s*\[.*?\]\s*\})'
+FIGURE_MARKER = "click here to view figure"
 FIGURE_PATTERN = r"(?s)\bfigure\s+\d+\b.{0,120}click here to view figure"
 
 NOT_FOUND, MISSING = "NOT FOUND", "N/A"

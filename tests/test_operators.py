@@ -140,3 +140,40 @@ def test_translation(spark):
 def test_outliers(spark):
     df = spark.createDataFrame([(float(i % 7), 1.0) for i in range(50)] + [(1000.0, 1.0)], "a double, b double")
     assert analysis.without_outliers(df, ["a", "b"]).count() == 50
+
+
+def _times(df, word):
+    """How often a word stands in the optimized plan, and in a filter of it."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    return sum(x.count(word) for x in lines), sum(x.count(word) for x in lines if "Filter" in x)
+
+
+def test_grading_stands_once_under_filters(spark):
+    df = spark.createDataFrame([("d", "t", "", "a" * 5000)], "doi string, title string, abstract string, full_text string")
+    graded = fulltext.classify(df)
+    kept = fulltext.full_text_only(graded)
+    assert _times(kept, "article metrics") == (_times(graded.select("label"), "article metrics")[0], 0)
+    assert kept.count() == 1
+
+
+def test_signs_by_hand(spark):
+    from saltmarsh.functions import text as X
+
+    words = "the cat and of dog " * 30
+    texts = ["", "the", words, words + "1" * 400, words.replace("cat", "Kin"), words.replace("cat", "İn"), "é" * 300 + words, "7 " + words + " 7", ". " * 3000 + words]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    import re
+
+    from saltmarsh.functions.values import STOP_WORDS
+
+    for r in df.select("t", X.language("t").alias("l")).collect():
+        t = r.t.strip()
+        s, tokens = t[:6000], re.findall("[A-Za-z]+", t[:6000])
+        share, stops = sum(map(len, tokens)) / max(len(s), 1), sum(w in STOP_WORDS for w in re.findall("[a-z]+", s.lower()))
+        assert r.l == ("unknown" if len(t) < 80 or len(tokens) < 40 else "en" if share > 0.6 and stops / max(len(tokens), 1) > 0.04 else "non-en" if share < 0.35 else "unknown"), r.t[:20]
+    long = "a line of text\n" * 20
+    cases = [(long + "ab\n" * 2, 1), (long + "ab\n", 0), (long + " ab  c\x85\n\n", 1), (long + "Â " * 5, 1), ("share article metrics " + long, 2), ("share article metrics ab\n" + "\nabc\n", 3), ("figure 1 click here to view figure\n" + long, 1), ("", 0)]
+    df = spark.createDataFrame([(t, n) for t, n in cases], "t string, n int")
+    for alone in (True, False):
+        for r in df.select("t", "n", X.penalty("t", df.t.substr(1, 0), alone).alias("p")).collect():
+            assert r.p == (r.n if alone or r.n > 1 or "Â" in r.t or "figure" in r.t else 0), r
