@@ -121,7 +121,7 @@ _OUT = "CASE WHEN label IN ('complete_full_text', 'partial_full_text') THEN doi
 @query(f"WITH {_CLASSIFIED}, t AS (SELECT *, {_OUT} AS output_filepath FROM classified WHERE attempt = 1) SELECT 'total' AS kind, 'total_papers' AS name, (SELECT count(*) FROM documents) AS n UNION ALL SELECT 'total', 'urls_resolved', (SELECT count(*) FROM documents WHERE doc_id % 3 = 0) UNION ALL SELECT 'total', 'final_txt_saved', (SELECT count(output_filepath) FROM t) UNION ALL SELECT 'label', label, count(*) FROM t GROUP BY ALL UNION ALL SELECT 'language', language, count(*) FROM t GROUP BY ALL")
 def k10_text_summary(spark: S, sf_dir: str) -> DataFrame:
     """The summary of a full-text run, written and read again."""
-    texts = _classified(spark, sf_dir).filter("attempt = 1").withColumn("output_filepath", F.expr(_OUT))
+    texts = _classified(spark, sf_dir, 1).drop("title", "abstract", "full_text").withColumn("output_filepath", F.expr(_OUT))
     docs = T.table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 3 == 0).alias("resolved"))
     out, path = fulltext.text_summary(docs, docs, texts), scratch(spark, "text-summary")
     cache.write_lines(out, path)
