@@ -241,11 +241,19 @@ def risky_name(c: Column | str) -> Column:
 
 def curation_name(c: Column | str) -> Column:
     """A name as curation rules see it: folded case, quotes and dashes."""
-    t = F.lower(ascii_fold(F.coalesce(col(c), F.lit(""))))
-    t = F.replace(F.replace(t, F.lit("α"), F.lit("alpha")), F.lit("β"), F.lit("beta"))
-    t = F.regexp_replace(F.regexp_replace(t, "[′’‘`´ʹ]", "'"), "[‐‑‒–—−]", "-")
-    t = F.replace(F.replace(t, F.lit("n,n0"), F.lit("n,n'")), F.lit("n0-"), F.lit("n'-"))
-    return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
+
+    def folded(t: Column) -> Column:
+        t = F.lower(ascii_fold(t))
+        t = F.replace(F.replace(t, F.lit("α"), F.lit("alpha")), F.lit("β"), F.lit("beta"))
+        return F.regexp_replace(F.regexp_replace(t, "[′’‘`´ʹ]", "'"), "[‐‑‒–—−]", "-")
+
+    def spaced(t: Column) -> Column:
+        t = F.replace(F.replace(t, F.lit("n,n0"), F.lit("n,n'")), F.lit("n0-"), F.lit("n'-"))
+        return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
+
+    # ASCII texts, as long in bytes as in characters, have only one of the characters looked for
+    plain = lambda t: F.replace(F.lower(t), F.lit("`"), F.lit("'"))
+    return spaced(let(F.coalesce(col(c), F.lit("")), lambda t: F.when(F.octet_length(t) == F.length(t), plain(t)).otherwise(folded(t))))
 
 
 def work_key(doi: Column | str, paper_id: Column | str) -> Column:

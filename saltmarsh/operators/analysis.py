@@ -9,6 +9,7 @@ from ..functions import chem
 from ..functions import text as X
 from ..functions.domain_values import CURATION_RULES, EXCLUSION_REASONS
 from ..functions.values import DEFAULT_EXCLUSION, EVIDENCE_PATTERN, ROLE_PATTERN
+from ..storage import if_small, stored
 
 RULE_FIELDS = ("candidate_id", "canonical_name", "scope", "subclass", "smiles", "identity_note")
 
@@ -64,15 +65,15 @@ def rules_table(spark) -> DataFrame:
 def audit(mentions: DataFrame) -> DataFrame:
     """Mentions of a role of interest with the rule they match, or why none.
 
-    Rules run over the distinct names only and are joined back.
+    Rules run over the distinct names only, which are stored, and are joined back.
     """
     own = mentions.filter(F.coalesce("role", F.lit("")).rlike(f"(?i){ROLE_PATTERN}"))
     nul = lambda c: F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("\x00"), F.lit(""))
     own = own.withColumns({c: nul(c) for c in ("paper_id", "doi", "title", "compound_name", "evidence", "role")})
-    names = own.select("compound_name").distinct().withColumns({"normalized_name": X.curation_name("compound_name")})
-    names = names.withColumns({"ord": rule_number(F.col("normalized_name")), "reason": exclusion_reason()})
-    ruled = names.join(F.broadcast(rules_table(mentions.sparkSession)), "ord", "left")
-    out = own.join(ruled, "compound_name")
+    names = own.select("compound_name").distinct().withColumns({"normalized_name": X.once(X.curation_name("compound_name"))})
+    names = names.withColumns({"ord": X.once(rule_number(F.col("normalized_name"))), "reason": X.once(exclusion_reason())})
+    ruled = stored(names.join(F.broadcast(rules_table(mentions.sparkSession)), "ord", "left"), "ruled-names")
+    out = own.join(if_small(ruled), "compound_name")
     return out.select("seq", "paper_id", X.work_key("doi", "paper_id").alias("work_key"), "doi", "title", "compound_name", "normalized_name", F.col("role").alias("llm_role"), "evidence", F.col("evidence").rlike(f"(?i){EVIDENCE_PATTERN}").alias("direct_evidence_keyword"), F.coalesce("scope", F.lit("excluded")).alias("decision"), F.coalesce("candidate_id", F.lit("")).alias("candidate_id"), F.coalesce("canonical_name", F.lit("")).alias("canonical_name"), F.coalesce("identity_note", "reason").alias("decision_note"))
 
 
@@ -82,15 +83,36 @@ def confidence() -> Column:
     return F.when(~F.col("scope").isin("core_specific", "adjacent_specific"), "family_or_product_no_unique_structure").when((works >= 2) & (direct > 0), "high").when(direct > 0, "moderate").otherwise("low")
 
 
+def joined_values(rows: DataFrame, key: str, value: str, by: str = " | ") -> DataFrame:
+    """key and its distinct values in order as one string: ranges of values are joined each by itself, then the strings of ranges, so no group's values are gathered."""
+    ranged = rows.select(key, value).distinct().repartitionByRange(key, value).withColumn("_range", F.spark_partition_id())
+    parts = ranged.groupBy(key, "_range").agg(F.array_join(F.sort_array(F.collect_list(value)), by).alias("_s"))
+    listed = F.sort_array(F.collect_list(F.struct("_range", "_s")))
+    return parts.groupBy(key).agg(F.array_join(F.transform(listed, lambda x: x["_s"]), by).alias(value))
+
+
 def candidates(audited: DataFrame) -> DataFrame:
-    """One row per matched rule with counts, aliases, works and a representative mention."""
-    direct = F.col("direct_evidence_keyword")
-    best = F.min_by(F.struct("paper_id", "title", "evidence"), F.struct((~direct).alias("d"), (-F.length("evidence")).alias("n"), "seq"))
+    """One row per matched rule with counts, aliases, works and a representative mention.
+
+    Few rules match many mentions: each figure is a hash aggregate of its own, and no group is sorted or gathered.
+    """
+    own, key = audited.filter("candidate_id <> ''"), "candidate_id"
+    names = own.groupBy(key, "normalized_name", "compound_name", (~F.col("direct_evidence_keyword")).alias("d"), (-F.length("evidence")).alias("n")).agg(F.count(F.lit(1)).alias("m"), F.min("seq").alias("seq"))
+    names = stored(names, "candidate-names")
     alias = F.array_join(F.transform(F.array_sort(F.collect_set(F.struct(F.col("normalized_name").alias("k"), F.col("compound_name").alias("v")))), lambda x: x["v"]), " | ")
-    doi = F.when((F.col("doi") != "") & (X.curation_name("doi") != "not found"), F.col("doi"))
-    g = audited.filter("candidate_id <> ''").groupBy("candidate_id").agg(F.count(F.lit(1)).alias("n_mentions"), F.countDistinct("paper_id").alias("n_extraction_records"), F.countDistinct("work_key").alias("n_deduplicated_works"), F.count_if(direct).alias("n_direct_evidence_mentions"), alias.alias("aliases"), F.array_join(F.array_sort(F.collect_set(doi)), " | ").alias("dois"), best.alias("b"))
-    out = F.broadcast(rules_table(audited.sparkSession)).join(g, "candidate_id")
-    out = out.withColumn("confidence", confidence())
+    first = F.min(F.struct("d", "n", "seq"))
+    g = names.groupBy(key).agg(F.sum("m").alias("n_mentions"), F.sum(F.when(~F.col("d"), F.col("m")).otherwise(0)).alias("n_direct_evidence_mentions"), alias.alias("aliases"), first.alias("first"))
+    different = lambda c, name: own.select(key, c).filter(F.col(c).isNotNull()).distinct().groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    listed = joined_values(own.filter((F.col("doi") != "") & (X.curation_name("doi") != "not found")), key, "doi")
+    # the mention itself, looked up by its place
+    chosen = own.join(F.broadcast(g.select(key, F.col("first.seq").alias("seq"))), [key, "seq"])
+    order = F.struct((~F.col("direct_evidence_keyword")).alias("d"), (-F.length("evidence")).alias("n"))
+    best = chosen.groupBy(key).agg(F.min_by(F.struct("paper_id", "title", "evidence"), order).alias("b"))
+    out = F.broadcast(rules_table(audited.sparkSession)).join(g, key)
+    for more in (different("paper_id", "n_extraction_records"), different("work_key", "n_deduplicated_works"), listed.withColumnRenamed("doi", "dois"), best):
+        out = out.join(more, key, "left")  # one row a rule
+    counts = ("n_extraction_records", "n_deduplicated_works")
+    out = out.withColumns({**{c: F.coalesce(c, F.lit(0)) for c in counts}, "dois": F.coalesce("dois", F.lit(""))}).withColumn("confidence", confidence())
     return out.select("candidate_id", "canonical_name", "scope", "subclass", "confidence", "smiles", "n_mentions", "n_extraction_records", "n_deduplicated_works", "n_direct_evidence_mentions", "aliases", "dois", F.col("b.paper_id").alias("representative_paper_id"), F.col("b.title").alias("representative_title"), F.col("b.evidence").alias("representative_evidence"), F.col("identity_note").alias("curation_note")).orderBy("scope", F.lower("canonical_name"))
 
 
@@ -133,8 +155,8 @@ def tagged_union(other: DataFrame, priority: DataFrame) -> DataFrame:
 
 def unique_structures(rows: DataFrame, smiles: str = "smiles", seq: str = "seq") -> DataFrame:
     """Rows with a valid structure, the first (by `seq`) of each canonical one, with canonical_smiles and heavy_atoms."""
-    parsed = rows.select(smiles).distinct().withColumn("_p", chem.parsed(smiles)).select(smiles, F.col("_p.canonical_smiles").alias("canonical_smiles"), F.col("_p.heavy_atoms").alias("heavy_atoms"))
-    own = rows.drop("canonical_smiles", "heavy_atoms").join(parsed.filter(F.coalesce("canonical_smiles", F.lit("")) != ""), smiles)
+    parsed = chem.parsed_once(rows, smiles).select(smiles, "canonical_smiles", "heavy_atoms")
+    own = rows.drop("canonical_smiles", "heavy_atoms").join(if_small(parsed.filter(F.coalesce("canonical_smiles", F.lit("")) != "")), smiles)
     rest = [c for c in own.columns if c != "canonical_smiles"]
     return own.groupBy("canonical_smiles").agg(F.min_by(F.struct(*rest), seq).alias("_r")).select("_r.*", "canonical_smiles")
 

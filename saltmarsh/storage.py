@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -27,6 +28,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a broadcast side may have.
+BROADCAST_ROWS = 1_000_000
+
+
+def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table with a broadcast hint where its counted rows are within the bound, else unhinted (AQE joins it by shuffle)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 #: Bytes a core of a table that is read in fewer splits than there are cores, however it is laid out.
 SPREAD_BYTES = 64 << 20
 

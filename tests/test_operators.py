@@ -177,3 +177,20 @@ def test_signs_by_hand(spark):
     for alone in (True, False):
         for r in df.select("t", "n", X.penalty("t", df.t.substr(1, 0), alone).alias("p")).collect():
             assert r.p == (r.n if alone or r.n > 1 or "Â" in r.t or "figure" in r.t else 0), r
+
+
+def test_rules_do_not_reach_the_mentions(spark):
+    rows = [(i, f"p_{i}", f"10.1/{i % 7}" if i % 3 else "NOT FOUND", f"t{i}", "DODPA" if i % 2 else "dodpa", "aminic", "inhibits oxidation" if i % 4 == 0 else "e" * (i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq int, paper_id string, doi string, title string, compound_name string, role string, evidence string")
+    audit = analysis.audit(df)
+    assert _times(audit.filter("candidate_id <> ''"), analysis.CURATION_RULES[0][4][0])[0] == 0
+    c = analysis.candidates(audit).first()
+    assert (c.n_mentions, c.n_extraction_records, c.n_direct_evidence_mentions, c.aliases) == (60, 60, 15, "DODPA | dodpa")
+    assert c.dois == " | ".join(sorted({r[2] for r in rows} - {"NOT FOUND"})) and c.n_deduplicated_works == len({r[2] for r in rows} - {"NOT FOUND"}) + 1
+    assert (c.representative_paper_id, c.representative_title) == ("p_0", "t0")
+
+
+def test_values_are_joined_by_ranges(spark):
+    rows = [(k, f"v{i * 37 % 500:03d}") for k in "ab" for i in range(400)] * 2 + [("c", "x")]
+    got = {r.k: r.v for r in analysis.joined_values(spark.createDataFrame(rows, "k string, v string"), "k", "v").collect()}
+    assert got == {k: " | ".join(sorted({v for n, v in rows if n == k})) for k in "abc"}
