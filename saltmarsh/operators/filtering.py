@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import chem
 from ..functions import text as X
 from ..functions.values import NOT_FOUND
+from ..storage import if_small
 
 
 def found(c: str) -> Column:
@@ -35,8 +36,8 @@ def final_type(family: str = "ao_family") -> Column:
 def structure_rows(links: DataFrame, compat: bool = False) -> DataFrame:
     """seq, cid, name, smiles, type, heavy_atoms of link rows (P10); each distinct structure is parsed once."""
     rows = links.select("seq", F.coalesce(X.present(F.trim("cid")), F.lit(NOT_FOUND)).alias("cid"), display_name(compat).alias("name"), chosen_smiles()[0].alias("smiles_used"))
-    parsed = rows.filter(F.col("smiles_used") != NOT_FOUND).select("smiles_used").distinct().withColumn("p", chem.parsed("smiles_used")).select("smiles_used", "p.*")
-    out = rows.join(parsed, "smiles_used", "left")
+    parsed = chem.parsed_once(rows.filter(F.col("smiles_used") != NOT_FOUND), "smiles_used")
+    out = rows.join(if_small(parsed), "smiles_used", "left")
     good = F.col("canonical_smiles").isNotNull()
     return out.select("seq", "cid", "name", F.coalesce("canonical_smiles", F.lit(NOT_FOUND)).alias("smiles"), F.when(good, final_type()).otherwise("other").alias("type"), "heavy_atoms")
 

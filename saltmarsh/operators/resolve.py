@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions import text as X
 from ..functions.values import ABBREVIATIONS, NAME_SIMILARITY, NOT_FOUND, TITLE_SIMILARITY
-from ..storage import stored
+from ..storage import if_small, stored
 
 PROPERTIES = ("resolved_name", "pubchem_canonical_smiles", "pubchem_isomeric_smiles", "iupac_name")
 STRATEGIES = ("exact", "abbreviation", "synonym", "autocomplete")
@@ -32,8 +32,13 @@ def names_similar(query: Column | str, candidate: Column | str, threshold: float
 
 
 def name_keys(mentions: DataFrame) -> DataFrame:
-    """compound_name, normalized_name, seq (the first) of each distinct spelling: keys are made once a spelling."""
-    return mentions.groupBy("compound_name").agg(F.min("seq").alias("seq")).withColumn("normalized_name", X.name_key("compound_name"))
+    """compound_name, normalized_name, seq (the first) of each distinct spelling: keys are made once a spelling, whatever is asked of them."""
+    return mentions.groupBy("compound_name").agg(F.min("seq").alias("seq")).withColumn("normalized_name", X.once(X.name_key("compound_name")))
+
+
+def spellings(mentions: DataFrame) -> DataFrame:
+    """`name_keys`, stored; they stand for the mentions in `unique_names`, so that these are read once for their names."""
+    return stored(name_keys(mentions), "spellings")
 
 
 def unique_names(mentions: DataFrame) -> DataFrame:
@@ -75,26 +80,30 @@ def resolve_names(names: DataFrame, dimension: DataFrame, synonyms: DataFrame |
     return out.select("input_name", "normalized_name", status.alias("lookup_status"), F.coalesce(strategy, F.lit("none")).alias("strategy"), absent("cid"), *[absent(p) for p in PROPERTIES])
 
 
-def with_resolution(mentions: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Mentions with their name's resolution; unresolved ones with the sentinels."""
-    keys = name_keys(mentions).drop("seq")
+def with_resolution(mentions: DataFrame, resolved: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Mentions with their name's resolution; unresolved ones with the sentinels (J10). keys: the `spellings` of the mentions, if made before."""
+    keys = (name_keys(mentions) if keys is None else keys).drop("seq")
     defaults = {"cid": NOT_FOUND, "lookup_status": "not_found", "strategy": "none", **dict.fromkeys(PROPERTIES, NOT_FOUND)}
     named = keys.join(resolved.select("normalized_name", *defaults), "normalized_name", "left").fillna(defaults)
-    return mentions.join(named, "compound_name")
+    return mentions.join(if_small(stored(named, "named")), "compound_name")
 
 
 def master_rows(joined: DataFrame) -> DataFrame:
     """One row per identifier, or per name where there is none."""
     key = F.when(F.col("cid") != NOT_FOUND, F.concat(F.lit("cid:"), "cid")).otherwise(F.concat(F.lit("name:"), "normalized_name"))
-    first = lambda c: F.min_by(c, "seq").alias(c)
+    rows = joined.withColumn("_key", key)
+    named = ["cid", "lookup_status", "strategy", *PROPERTIES]
+    # few names have many mentions: hash aggregates make rows of names of them before anything is ordered
+    names = rows.groupBy("_key", *named, "compound_name", "paper_smiles").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("n"))
+    papers = rows.select("_key", F.concat_ws("|", "paper_id", "doi").alias("_paper")).distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("paper_count"))
     smiles = F.array_join(F.array_sort(F.collect_set(F.when(F.col("paper_smiles") != NOT_FOUND, F.col("paper_smiles")))), "; ")
-    out = joined.groupBy(key.alias("_key")).agg(
-        first("cid"), first("lookup_status"), first("strategy"), *[first(p) for p in PROPERTIES],
+    out = names.groupBy("_key").agg(
+        *[F.min_by(c, "seq").alias(c) for c in named],
         F.coalesce(X.present(smiles), F.lit(NOT_FOUND)).alias("paper_smiles"),
-        F.array_join(F.array_sort(F.collect_set("compound_name")), "; ").alias("aliases"),
-        F.countDistinct(F.concat_ws("|", "paper_id", "doi")).alias("paper_count"), F.count(F.lit(1)).alias("mention_count"),
+        F.array_join(F.array_sort(F.collect_set("compound_name")), "; ").alias("aliases"), F.sum("n").alias("mention_count"),
     )
-    return out.drop("_key").orderBy(F.col("cid") == NOT_FOUND, "cid", "resolved_name")
+    columns = [*named, "paper_smiles", "aliases", "paper_count", "mention_count"]
+    return out.join(papers, "_key").select(*columns).orderBy(F.col("cid") == NOT_FOUND, "cid", "resolved_name")
 
 
 LINK_KEY = ("paper_id", "doi", "compound_name", "cid", "paper_smiles", "pubchem_canonical_smiles")

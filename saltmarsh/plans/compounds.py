@@ -89,14 +89,16 @@ joined AS (SELECT m.*, m.k AS normalized_name, coalesce(r.lookup_status, 'not_fo
 """
 
 
-def _resolved(spark: S, sf_dir: str) -> DataFrame:
+def _resolved(spark: S, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     dim = T.name_dimension(spark, sf_dir)
     synonyms = dim.filter("cid % 2 = 0").select(X.name_key(F.concat("name", F.lit(" β"))).alias("name_key"), "cid")
-    return resolve.resolve_names(resolve.unique_names(T.mentions(spark, sf_dir)), dim, synonyms)
+    return resolve.resolve_names(resolve.unique_names(resolve.spellings(T.mentions(spark, sf_dir)) if keys is None else keys), dim, synonyms)
 
 
 def _joined(spark: S, sf_dir: str) -> DataFrame:
-    return resolve.with_resolution(T.mentions(spark, sf_dir), _resolved(spark, sf_dir))
+    mentions = T.mentions(spark, sf_dir)
+    keys = resolve.spellings(mentions)
+    return resolve.with_resolution(mentions, _resolved(spark, sf_dir, keys), keys)
 
 
 @query(f"WITH {_RESOLVED} SELECT * FROM resolved")

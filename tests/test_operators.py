@@ -194,3 +194,14 @@ def test_values_are_joined_by_ranges(spark):
     rows = [(k, f"v{i * 37 % 500:03d}") for k in "ab" for i in range(400)] * 2 + [("c", "x")]
     got = {r.k: r.v for r in analysis.joined_values(spark.createDataFrame(rows, "k string, v string"), "k", "v").collect()}
     assert got == {k: " | ".join(sorted({v for n, v in rows if n == k})) for k in "abc"}
+
+
+def test_name_keys_do_not_reach_the_mentions(spark):
+    rows = [(i, f"p{i % 4}", "d", ("Bht", "bht ", "BHT", "oil β")[i % 4], ("C", "NOT FOUND")[i % 2]) for i in range(40)]
+    mentions = spark.createDataFrame(rows, "seq int, paper_id string, doi string, compound_name string, paper_smiles string")
+    assert _times(resolve.unique_names(mentions), "translate")[1] == 0
+    dim = spark.createDataFrame([(7, "bht", "bht", "CC", "NOT FOUND", "x")], "cid int, name string, resolved_name string, pubchem_canonical_smiles string, pubchem_isomeric_smiles string, iupac_name string")
+    joined = resolve.with_resolution(mentions, resolve.resolve_names(resolve.unique_names(mentions), dim))
+    assert _times(joined, "translate")[0] == 0
+    got = {r.cid: (r.aliases, r.paper_smiles, r.paper_count, r.mention_count, r.strategy) for r in resolve.master_rows(joined).collect()}
+    assert got == {"7": ("BHT; Bht; bht ", "C", 3, 30, "exact"), "NOT FOUND": ("oil β", "NOT FOUND", 1, 10, "none")}
