@@ -205,3 +205,10 @@ def test_name_keys_do_not_reach_the_mentions(spark):
     assert _times(joined, "translate")[0] == 0
     got = {r.cid: (r.aliases, r.paper_smiles, r.paper_count, r.mention_count, r.strategy) for r in resolve.master_rows(joined).collect()}
     assert got == {"7": ("BHT; Bht; bht ", "C", 3, 30, "exact"), "NOT FOUND": ("oil β", "NOT FOUND", 1, 10, "none")}
+
+
+def test_parser_does_not_reach_the_rows(spark):
+    rows = spark.createDataFrame([(i, ("c1ccccc1O", "Oc1ccccc1", "bad(")[i % 3]) for i in range(30)], "seq int, smiles string")
+    kept = analysis.unique_structures(rows)
+    assert _times(kept, "parse(")[0] == 0
+    assert [(r.seq, r.heavy_atoms) for r in kept.collect()] == [(0, 7)]
