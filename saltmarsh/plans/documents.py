@@ -241,7 +241,5 @@ def s27_pages(spark: S, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, array_to_string(string_split(text, ' '), ' ') AS abstract FROM documents")
 def p03_inverted_index(spark: S, sf_dir: str) -> DataFrame:
     """Texts rebuilt from their inverted indexes."""
-    docs = T.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
-    words = docs.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at"))
-    index = words.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("i"))
-    return index.select("doc_id", payloads.inverted_text("i").alias("abstract"))
+    docs = spread(T.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("doc_id", payloads.inverted_index("text").alias("i"))
+    return docs.select("doc_id", payloads.inverted_text("i").alias("abstract"))

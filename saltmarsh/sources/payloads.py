@@ -25,11 +25,25 @@ SCHEMAS = {
 }
 
 
+def inverted_index(c: Column | str) -> Column:
+    """Words of a text with their positions, made within the row: sorted pairs are cut where the word changes."""
+
+    def cut(pairs: Column) -> Column:
+        new = lambda i: F.when(i == 0, True).otherwise(F.get(pairs, i)["w"] != F.get(pairs, i - 1)["w"])
+        return X.let(F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), new), lambda begins: F.map_from_entries(F.transform(begins, lambda b, k: one(pairs, b, F.coalesce(F.get(begins, k + 1), F.size(pairs))))))
+
+    def one(pairs: Column, begin: Column, end: Column) -> Column:
+        return F.struct(F.get(pairs, begin)["w"].alias("w"), F.transform(F.slice(pairs, begin + 1, end - begin), lambda p: p["p"]).alias("at"))
+
+    pairs = F.transform(F.split(c, " "), lambda w, i: F.struct(w.alias("w"), i.alias("p")))
+    return X.let(F.sort_array(pairs), cut)
+
+
 def inverted_text(c: Column | str) -> Column:
     """Words of an inverted index in order of position, then of word (P03); null for none."""
     m = F.col(c) if isinstance(c, str) else c
     pairs = F.flatten(F.transform(F.map_entries(m), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    return F.when(F.size(m) > 0, F.array_join(F.transform(F.array_sort(pairs), lambda x: x["w"]), " "))
+    return F.when(F.size(m) > 0, F.array_join(F.transform(F.sort_array(pairs), lambda x: x["w"]), " "))
 
 
 def _filled(c: Column) -> Column:

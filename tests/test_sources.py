@@ -102,3 +102,14 @@ def test_upserts(spark, tmp_path):
     got = resume.current(spark, str(tmp_path / "t"), "k", "seq")
     assert sorted((r.k, r.v) for r in got.collect()) == [("a", "new"), ("b", "b")]
     assert resume.retryable(got.withColumn("status", F.lit("failed")), "k").count() == 2
+
+
+def test_an_index_is_made_within_its_row(spark):
+    texts = ["b a b", "", " ", "a  a ", None, "x", "é ß é z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    made = df.select("i", payloads.inverted_index("text").alias("m"))
+    own = made.select("i", "m", payloads.inverted_text("m").alias("t"))
+    assert "Exchange" not in own._jdf.queryExecution().executedPlan().toString()
+    for r in own.collect():
+        words = None if texts[r.i] is None else texts[r.i].split(" ")
+        assert r.t == texts[r.i] and r.m == (words and {w: [k for k, x in enumerate(words) if x == w] for w in words})
