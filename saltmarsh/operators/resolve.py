@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -12,7 +15,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions import text as X
 from ..functions.values import ABBREVIATIONS, NAME_SIMILARITY, NOT_FOUND, TITLE_SIMILARITY
-from ..storage import if_small, stored
+from ..storage import if_small, spread, stored
 
 PROPERTIES = ("resolved_name", "pubchem_canonical_smiles", "pubchem_isomeric_smiles", "iupac_name")
 STRATEGIES = ("exact", "abbreviation", "synonym", "autocomplete")
@@ -127,42 +130,77 @@ def call_estimate(pending: DataFrame, most_cids: int = 10) -> DataFrame:
     return pending.agg(n.alias("min_calls"), (n * (5 + most_cids)).alias("rough_max_calls"))
 
 
+def letter_counts(texts: list[str]) -> np.ndarray:
+    """How often each text has the characters of each of 64 classes (their code's remainder), up to 255."""
+    out = np.zeros((len(texts), 64), dtype=np.uint8)
+    for i, t in enumerate(texts):
+        codes = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) % 64
+        out[i] = np.minimum(np.bincount(codes, minlength=64), 255)
+    return out
+
+
+def ratio_bounds(q: str, own: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """What the ratios of a text with others can be at most: all characters in common matched. Counts that were cut make no bound (1)."""
+    common = np.minimum(counts, own).sum(axis=1, dtype=np.int64)
+    both = lengths + len(q)
+    return np.where((both == 0) | (own.max(initial=0) == 255) | (counts.max(axis=1, initial=0) == 255), 1.0, 2.0 * common / np.maximum(both, 1))
+
+
+def best_of(batches: Iterator[pa.RecordBatch], asked: list[tuple[str, float]], first: bool) -> Iterator[pa.RecordBatch]:
+    """q, similarity, seq, title: for each of `asked` (text, the ratio to reach) the most similar of the titles t, the first of equals.
+
+    With `first` only the likeliest title of each batch is compared: a ratio that the best one reaches.
+    """
+    best: dict[str, tuple[float, int, str]] = {}
+    own = letter_counts([q for q, _ in asked])
+    for whole in batches:
+        for begin in range(0, whole.num_rows, 2048):
+            batch = whole.slice(begin, 2048).to_pydict()
+            texts, seqs, titles = batch["t"], batch["seq"], batch["title"]
+            lengths, counts = np.array([len(t) for t in texts]), letter_counts(texts)
+            for k, (q, floor) in enumerate(asked):
+                bounds = ratio_bounds(q, own[k], lengths, counts)
+                at = [int(bounds.argmax())] if first else np.flatnonzero(bounds >= max(floor, best[q][0] if q in best else 0.0))
+                if not len(at):
+                    continue
+                matcher = SequenceMatcher()
+                matcher.set_seq2(q)
+                for i in at if first else at[np.argsort(-bounds[at], kind="stable")].tolist():
+                    least = max(floor, best[q][0] if q in best else 0.0)
+                    if bounds[i] < least:
+                        break
+                    matcher.set_seq1(texts[i])
+                    if matcher.quick_ratio() >= least:
+                        r = matcher.ratio()
+                        if r >= least and (q not in best or (r, -seqs[i]) > (best[q][0], -best[q][1])):
+                            best[q] = (r, seqs[i], titles[i])
+    rows = [(q, *v) for q, v in best.items()]
+    types = [("q", pa.string()), ("similarity", pa.float64()), ("seq", pa.int64()), ("title", pa.string())]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(types)], names=[n for n, _ in types])
+
+
 def best_title(queries: DataFrame, titles: DataFrame, least: float = TITLE_SIMILARITY, block: int = 2000) -> DataFrame:
     """For each stated query title the most similar of all titles, the first of equals.
 
-    The queries are a stated set: they are collected in blocks and each block is compared with all titles in one
-    pass, keeping one best match a query in each partition.
+    Every different query meets every different title: titles that are equal when collapsed have one ratio, so the first
+    stands for them. The different queries are a stated set: they are collected and compared in blocks. A first pass
+    finds a ratio that each one's best title reaches, so the second computes ratios only where the characters
+    in common allow as much. A task keeps one best match a query.
     """
-    from collections.abc import Iterator
-
-    rows = titles.select("seq", X.collapsed("title").alias("t"), "title")
-    found = None
-    asked = [(r.query_id, r.q) for r in queries.select("query_id", X.collapsed("title").alias("q")).collect()]
+    kept = titles.select("seq", X.collapsed("title").alias("t"), "title").groupBy("t").agg(F.min(F.struct("seq", "title")).alias("f"))
+    rows = spread(stored(kept.select("t", F.col("f.seq").cast("bigint").alias("seq"), "f.title"), "titles"), "seq")
+    own = queries.select("query_id", X.collapsed("title").alias("q"))
+    asked = sorted(r.q for r in own.select("q").distinct().collect())
+    schema = "q string, similarity double, seq bigint, title string"
+    found = titles.sparkSession.createDataFrame([], schema)
     for begin in range(0, len(asked), block):
-        part = asked[begin : begin + block]
-
-        def run(batches: Iterator[pd.DataFrame], part=part) -> Iterator[pd.DataFrame]:
-            best: dict = {}
-            matchers = []
-            for k, q in part:
-                m = SequenceMatcher()
-                m.set_seq2(q)
-                matchers.append((k, m))
-            for batch in batches:
-                for seq, t, title in zip(batch["seq"].tolist(), batch["t"].tolist(), batch["title"].tolist(), strict=True):
-                    for k, m in matchers:
-                        m.set_seq1(t)
-                        floor = max(least, best[k][0] if k in best else 0.0)
-                        if m.real_quick_ratio() >= floor and m.quick_ratio() >= floor:
-                            r = m.ratio()
-                            if r >= floor and (k not in best or (r, -seq) > (best[k][0], -best[k][1])):
-                                best[k] = (r, seq, title)
-            yield pd.DataFrame([(k, *v) for k, v in best.items()], columns=["query_id", "similarity", "seq", "title"])
-
-        own = rows.mapInPandas(run, f"query_id {queries.schema['query_id'].dataType.simpleString()}, similarity double, seq bigint, title string")
-        own = own.groupBy("query_id").agg(F.max_by(F.struct("similarity", "seq", "title"), F.struct("similarity", -F.col("seq"))).alias("b")).select("query_id", "b.*")
-        found = own if found is None else found.unionByName(own)
-    return found if found is not None else titles.sparkSession.createDataFrame([], f"query_id {queries.schema['query_id'].dataType.simpleString()}, similarity double, seq bigint, title string")
+        part = [(q, least) for q in asked[begin : begin + block]]
+        reached = rows.mapInArrow(lambda batches, part=part: best_of(batches, part, True), schema).groupBy("q").agg(F.max("similarity").alias("r"))
+        floors = {r.q: r.r for r in reached.collect()}
+        part = [(q, floors.get(q, least)) for q, _ in part]
+        found = found.unionByName(rows.mapInArrow(lambda batches, part=part: best_of(batches, part, False), schema))
+    best = found.groupBy("q").agg(F.max_by(F.struct("similarity", "seq", "title"), F.struct("similarity", -F.col("seq"))).alias("b"))
+    return own.join(best, "q").select("query_id", "b.*")
 
 
 def numbered(rows: DataFrame, seq: str = "seq", column: str = "position") -> DataFrame:

@@ -144,7 +144,7 @@ def j17_best_title(spark: S, sf_dir: str) -> DataFrame:
     """Best match of stated titles, those of every fiftieth part in another spelling, among the titles of all parts."""
     titles = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq"), F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("title"))
     asked = titles.filter("seq % 50 = 0").select(F.col("seq").alias("query_id"), F.concat(F.upper("title"), F.lit("  revised")).alias("title"))
-    return resolve.best_title(asked, spread(titles, "seq"))
+    return resolve.best_title(asked, titles)
 
 
 _FOUND = "nullif(nullif(trim({c}), ''), 'NOT FOUND')"

@@ -212,3 +212,25 @@ def test_parser_does_not_reach_the_rows(spark):
     kept = analysis.unique_structures(rows)
     assert _times(kept, "parse(")[0] == 0
     assert [(r.seq, r.heavy_atoms) for r in kept.collect()] == [(0, 7)]
+
+
+def test_best_title_is_that_of_all_pairs(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdeé𝔸") for _ in range(rng.randint(1, 6)))
+    titles = [" ".join(word() for _ in range(rng.randint(1, 5))) for _ in range(60)] + ["x" * 300]
+    asked = [t.upper() + " b" for t in titles[::4]] + ["x" * 290, "zzz", "  "]
+    for q in asked[:5]:
+        for t in titles:
+            low = resolve.ratio_bounds(q, resolve.letter_counts([q])[0], resolve.np.array([len(t)]), resolve.letter_counts([t]))[0]
+            assert low >= SequenceMatcher(None, t, q).ratio()
+    rows = [(i, t) for i, t in enumerate(titles * 3)]
+    got = resolve.best_title(spark.createDataFrame(list(enumerate(asked)), "query_id int, title string"), spark.createDataFrame(rows, "seq bigint, title string"), block=5)
+    want = {}
+    for k, q in enumerate(asked):
+        ratios = [(SequenceMatcher(None, " ".join(t.lower().split()), " ".join(q.lower().split())).ratio(), -i) for i, t in rows]
+        if max(ratios)[0] >= 0.6:
+            want[k] = (max(ratios)[0], -max(ratios)[1])
+    assert {r.query_id: (r.similarity, r.seq) for r in got.collect()} == want
