@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +12,10 @@ from ..functions import text as X
 from ..functions.values import CHUNK_CHARS, CHUNK_OVERLAP
 
 
+#: Bytes of text that a worker holds as pieces before it gives them back.
+PIECE_BYTES = 2 << 20
+
+
 def cut_points(text: str, most: int, overlap: int) -> list[tuple[int, int]]:
     """Begin and end of each chunk: cut at the last blank line of the final 500 characters, else after the last full stop of the final 300, else hard."""
     n, begin, out = len(text), 0, []
@@ -39,19 +43,28 @@ def chunks(papers: DataFrame, most: int = CHUNK_CHARS, overlap: int = CHUNK_OVER
     rows = papers.select(F.col(key), body.alias("_body"))
     short = rows.filter(F.length("_body") <= most).select(key, F.lit(1).alias("chunk_no"), F.concat(F.col(key).cast("string"), F.lit(":chunk-1")).alias("chunk_id"), F.lit(0).alias("char_start"), F.length("_body").alias("char_end"), F.col("_body").alias("chunk_text"))
     schema = f"{key} {papers.schema[key].dataType.simpleString()}, chunk_no int, chunk_id string, char_start int, char_end int, chunk_text string"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for k, t in zip(batch[key].tolist(), batch["_body"].tolist(), strict=True):
-                n = 0
-                for a, b in cut_points(t, most, overlap):
-                    if piece := t[a:b].strip():
-                        n += 1
-                        out.append((k, n, f"{k}:chunk-{n}", a, b, piece))
-            yield pd.DataFrame(out, columns=columns)
-
-    return short.unionByName(rows.filter(F.length("_body") > most).mapInPandas(run, schema))
+    return short.unionByName(rows.filter(F.length("_body") > most).mapInArrow(lambda batches: pieces(batches, most, overlap, columns), schema))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], most: int, overlap: int, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Chunks of the texts (second column) of batches, given back by `PIECE_BYTES` of text, be a batch or a text as long as it may."""
+    for batch in batches:
+        types = [batch.schema.field(0).type, pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string()]
+        whole = lambda rows: pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types, strict=True)], names=columns)  # noqa: B023, E731
+        out, size = [], 0
+        for i in range(batch.num_rows):
+            k, t, n = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), 0
+            for a, b in cut_points(t, most, overlap):
+                if piece := t[a:b].strip():
+                    n += 1
+                    out.append((k, n, f"{k}:chunk-{n}", a, b, piece))
+                    size += len(piece)
+                    if size >= PIECE_BYTES:
+                        yield whole(out)
+                        out, size = [], 0
+        if out:
+            yield whole(out)
+        pa.default_memory_pool().release_unused()
 
 
 def match_metadata(files: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -214,6 +214,17 @@ def test_parser_does_not_reach_the_rows(spark):
     assert [(r.seq, r.heavy_atoms) for r in kept.collect()] == [(0, 7)]
 
 
+def test_pieces_are_given_back_by_size():
+    import pyarrow as pa
+
+    texts = ["word. " * 20_000] * 100 + ["a b " * 1000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["k", "_body"])
+    got = list(chunking.pieces(iter([batch]), 2000, 200, ["k", "n", "id", "a", "b", "t"]))
+    assert len(got) > 5 and max(b.column(5).nbytes for b in got) < 2 * chunking.PIECE_BYTES
+    rows = [r for b in got for r in zip(*b.to_pydict().values())]
+    assert rows == [(k, n + 1, f"{k}:chunk-{n + 1}", a, b, t[a:b].strip()) for k, t in enumerate(texts) for n, (a, b) in enumerate(chunking.cut_points(t, 2000, 200))]
+
+
 def test_best_title_is_that_of_all_pairs(spark):
     import random
     from difflib import SequenceMatcher
