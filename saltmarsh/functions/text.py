@@ -94,8 +94,7 @@ def clean(c: Column | str) -> Column:
     t = F.replace(F.replace(F.coalesce(col(c), F.lit("")), F.lit("\r"), F.lit("\n")), F.lit("\xa0"), F.lit(" "))
     # patterns run only over texts that hold what they look for
     lines = lambda t: F.when(t.contains("\n\n\n"), F.regexp_replace(t, "\n{3,}", "\n\n")).otherwise(t)
-    double = lambda t: reduce(lambda a, b: a | b, [t.contains(x + y) for x in " \t" for y in " \t"])
-    blanks = lambda t: F.when(double(t), F.regexp_replace(t, "[ \t]{2,}", " ")).otherwise(t)
+    blanks = lambda t: F.when(t.contains("  ") | t.contains("\t"), F.regexp_replace(t, "[ \t]{2,}", " ")).otherwise(t)
     white = lambda x: F.lit(WHITE).contains(x)
     ends = lambda t: F.when(white(F.substring(t, 1, 1)) | white(F.substring(t, -1, 1)), strip(t)).otherwise(t)
     return let(let(let(t, lines), blanks), ends)
