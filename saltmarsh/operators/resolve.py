@@ -98,7 +98,8 @@ def master_rows(joined: DataFrame) -> DataFrame:
     named = ["cid", "lookup_status", "strategy", *PROPERTIES]
     # few names have many mentions: hash aggregates make rows of names of them before anything is ordered
     names = rows.groupBy("_key", *named, "compound_name", "paper_smiles").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("n"))
-    papers = rows.select("_key", F.concat_ws("|", "paper_id", "doi").alias("_paper")).distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("paper_count"))
+    # nearly all papers differ: dealt out first, as a table of them before the shuffle would only fill memory
+    papers = rows.select("_key", F.concat_ws("|", "paper_id", "doi").alias("_paper")).repartition("_key", "_paper").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("paper_count"))
     smiles = F.array_join(F.array_sort(F.collect_set(F.when(F.col("paper_smiles") != NOT_FOUND, F.col("paper_smiles")))), "; ")
     out = names.groupBy("_key").agg(
         *[F.min_by(c, "seq").alias(c) for c in named],
